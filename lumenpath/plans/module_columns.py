@@ -77,7 +77,7 @@ def module_column_facts(platform: Platform, params: ReportParams, admins: DataFr
         .otherwise("Nunca acessou")
     )
     return (
-        rows.withColumn("module_index", F.row_number().over(in_track))
+        rows.withColumn("module_index", F.row_number().over(in_track).cast("bigint"))
         .withColumn("module_label", module_label(F.col("module_index"), F.col("track_name"), F.col("module_name")))
         .withColumn("completed_at", day_second(F.when(closed, F.col("_updated_at"))))
         .withColumn("cell", cell)

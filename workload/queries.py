@@ -17,9 +17,8 @@ from lumenpath.params import ReportParams
 from lumenpath.plans import activity, environment, gold, module_columns, module_rows, track
 from lumenpath.sources import Platform
 from workload.oracle import ORACLES  # noqa: F401  (re-exported next to QUERIES)
-from workload.tables import TENANTS, standin
+from workload.tables import AS_OF, TENANTS, standin
 
-AS_OF = "2000-01-01 00:00:00"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -231,7 +230,7 @@ def activity_gold(p: Platform) -> DataFrame:
 @query
 def activity_report(p: Platform) -> DataFrame:
     chosen = params(user_flags=(1,), role_ids=(1, 2))
-    return activity.activity_report(p, gold.activity_time_gold(p, AS_OF), chosen, p.any_admins)
+    return activity.activity_report(p, p.gold, chosen, p.any_admins)
 
 
 @query
@@ -241,7 +240,7 @@ def activity_report_filtered(p: Platform) -> DataFrame:
         windows={"first_access": ("1997-01-01 00:00:00", "2000-12-31 00:00:00")}, show_empty_dates=True,
         show_inactive_tracks=True, show_inactive_modules=True,
     )
-    return activity.activity_report(p, gold.activity_time_gold(p, AS_OF), chosen, p.tree_admins, sort=False)
+    return activity.activity_report(p, p.gold, chosen, p.tree_admins, sort=False)
 
 
 # ---- module reports ------------------------------------------------------------------------------------------

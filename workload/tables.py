@@ -14,10 +14,14 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lumenpath.plans.gold import activity_time_gold
 from lumenpath.sources import Platform
+from lumenpath.sources.staging import Stage
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+AS_OF = "2000-01-01 00:00:00"
+
 # The customer segments, which play the tenants.
 TENANTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -39,7 +43,7 @@ TABLES: dict[str, str] = {
     # --- helpers -------------------------------------------------------------------------
     "order_owner": f"""
         select cast(o_orderkey as bigint) as attempt_id, cast(o_custkey as bigint) as user_id,
-               c_mktsegment as tenant_id, c_nationkey as nation_id, {_MODULE} as module_id,
+               c_mktsegment as tenant_id, c_nationkey as nation_id, c_acctbal as balance, {_MODULE} as module_id,
                cast(year(o_orderdate) as bigint) as track_id, {_P} as p, o_orderstatus, o_totalprice,
                o_orderdate, {_STATUS} as status_id
         from {{orders}} join {{customer}} on o_custkey = c_custkey""",
@@ -159,8 +163,10 @@ TABLES: dict[str, str] = {
                      cast(case when p = 5 then 3 when p = 4 then null when min(o_orderstatus) = 'F' then 1
                                when min(o_orderstatus) = 'O' then 2 else 4 end as bigint) as origin
               from (select user_id, tenant_id, nation_id, module_id, p, o_totalprice, o_orderdate, o_orderstatus from {order_owner}
+                    where not (balance > 600 and balance < 800)
                     union all
-                    select user_id, tenant_id, nation_id, module_id + 10, p, o_totalprice, o_orderdate, o_orderstatus from {order_owner}) s
+                    select user_id, tenant_id, nation_id, module_id + 10, p, o_totalprice, o_orderdate, o_orderstatus from {order_owner}
+                    where not (balance > 600 and balance < 800)) s
               group by user_id, tenant_id, nation_id, module_id, p) g
         union all
         select cast(c_custkey as bigint), cast(1999 as bigint), 'TR', cast(2 as bigint), cast(1 as bigint), cast(null as bigint),
@@ -193,7 +199,10 @@ TABLES: dict[str, str] = {
         select module_id, user_id, tenant_id, min(o_orderdate) as exempted_at,
                case when p <= 2 then null when p = 3 then @TS'1999-06-01 00:00:00' else @TS'2000-06-01 00:00:00' end as starts_at,
                case when p <= 2 then null when p = 3 then @TS'1999-09-01 00:00:00' else @TS'2000-09-01 00:00:00' end as ends_at
-        from {order_owner} where o_totalprice < 30000 group by module_id, user_id, tenant_id, p""",
+        from {order_owner} where o_totalprice < 30000 and not (balance > 9000 and balance < 9500) group by module_id, user_id, tenant_id, p
+        union all
+        select m.module_id, cast(c_custkey as bigint), m.tenant_id, @TS'1994-12-01 00:00:00', null, null
+        from {customer} join {module_key} m on m.tenant_id = c_mktsegment where c_acctbal > 9000 and c_acctbal < 9500""",
     # --- answers in detail ---------------------------------------------------------------------
     "choices": """
         select activity_id * 10 + t as choice_id, activity_id, tenant_id, 'option ' || cast(t as string) as text, t <> 8 as is_active
@@ -242,8 +251,8 @@ TABLES: dict[str, str] = {
                      min(o_orderdate) as first_day, max(o_orderdate) as last_day, cast(sum(cast(o_totalprice as decimal(18,2))) as decimal(18,2)) as score,
                      count(*) as total, count(case when o_totalprice < 30000 then 1 end) as exempt,
                      count(case when status_id = 'aguardando_correcao' then 1 end) as awaiting,
-                     count(case when status_id in ('aprovado', 'concluido') then 1 end) as approved,
-                     count(case when status_id in ('aprovado', 'concluido', 'reprovado', 'realizado_fora_prazo') then 1 end) as done,
+                     count(case when status_id in ('aprovado', 'concluido') or balance > 8000 then 1 end) as approved,
+                     count(case when status_id in ('aprovado', 'concluido', 'reprovado', 'realizado_fora_prazo') or balance > 8000 then 1 end) as done,
                      count(case when status_id = 'em_andamento' and track_id >= 1997 then 1 end) as running,
                      count(case when status_id = 'em_andamento' and track_id < 1997 then 1 end) as expired,
                      count(case when status_id in ('nao_iniciado', 'cancelado') and track_id < 2000 then 1 end) as idle,
@@ -398,18 +407,33 @@ def _duck_text(sql: str) -> str:
     return _REF.sub(r"\1", sql)
 
 
+_STAGES: dict[tuple[str, str], Stage] = {}
+
+
+def stage_for(spark: SparkSession, sf_dir: str) -> Stage:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGES:
+        _STAGES[key] = Stage(spark, sf_dir.strip("/").replace("/", "_"))
+    return _STAGES[key]
+
+
 def standin(spark: SparkSession, sf_dir: str) -> Platform:
-    """The platform tables of one data directory, every one lazy."""
-    made: dict[str, DataFrame] = {}
+    """The platform tables of one data directory, each written once, as the silver layer of a platform is.
+
+    ``gold`` is the consolidated activity table built from them, partitioned by tenant.
+    """
+    stage = stage_for(spark, sf_dir)
 
     def load(name: str) -> DataFrame:
-        if name not in made:
-            if name in BASE_TABLES:
-                made[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-            else:
-                text = TABLES[name]
-                made[name] = spark.sql(_spark_text(text), **{ref: load(ref) for ref in set(_REF.findall(text))})
-        return made[name]
+        if name in BASE_TABLES:
+            return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return stage.keep(name, lambda: derive(name), ("tenant_id",) if name == "gold" else ())
+
+    def derive(name: str) -> DataFrame:
+        if name == "gold":
+            return activity_time_gold(Platform(load), AS_OF)
+        text = TABLES[name]
+        return spark.sql(_spark_text(text), **{ref: load(ref) for ref in set(_REF.findall(text))})
 
     return Platform(load)
 
