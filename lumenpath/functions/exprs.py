@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -14,22 +15,28 @@ def instant(moment: datetime | str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def _clock(seconds: Column, pattern: str) -> Column:
-    whole = seconds.cast("bigint")
-    hours = F.floor(whole / 3600).cast("bigint")
-    minutes = F.floor(whole % 3600 / 60).cast("bigint")
-    text = F.format_string(pattern, hours, minutes, whole % 60)
-    return F.when(whole.isNotNull(), text)
+def _two_digits(number: Column) -> Column:
+    return F.when(number < 10, F.concat(F.lit("0"), number.cast("string"))).otherwise(number.cast("string"))
+
+
+def _whole(seconds: Column, unit: int) -> Column:
+    return F.floor(seconds / unit).cast("bigint")
+
+
+def _tail(seconds: Column) -> Column:
+    return F.concat(_two_digits(_whole(seconds % 3600, 60)), F.lit(":"), _two_digits(seconds % 60))
 
 
 def clock(seconds: Column) -> Column:
     """``HH:MM:SS``; hours grow past two digits when needed."""
-    return _clock(seconds, "%02d:%02d:%02d")
+    whole = seconds.cast("bigint")
+    return F.concat(_two_digits(_whole(whole, 3600)), F.lit(":"), _tail(whole))
 
 
 def short_clock(seconds: Column) -> Column:
     """``H:MM:SS``; zero is ``0:00:00``."""
-    return _clock(seconds, "%d:%02d:%02d")
+    whole = seconds.cast("bigint")
+    return F.concat(_whole(whole, 3600).cast("string"), F.lit(":"), _tail(whole))
 
 
 def decimal_comma(value: Column) -> Column:
@@ -92,11 +99,11 @@ def blank_when(condition: Column, value: Column) -> Column:
     return F.when(condition, F.lit("")).otherwise(value)
 
 
-def join_sorted(items: Column, separator: str = ", ") -> Column:
-    """Collected ``struct(order..., text)`` values joined in order; NULL when there is no text."""
-    texts = F.transform(F.sort_array(items), lambda item: item["text"])
-    joined = F.array_join(texts, separator)
-    return F.when(F.exists(texts, lambda text: text.isNotNull()), joined)
+def join_sorted(order: Sequence[str | Column], text: str | Column, separator: str = ", ") -> Column:
+    """Aggregate: the texts of a group joined in the given order; NULL texts are left out, no text gives NULL."""
+    text = F.col(text) if isinstance(text, str) else text
+    items = F.collect_list(F.when(text.isNotNull(), F.struct(*order, text.alias("text"))))
+    return F.when(F.size(items) > 0, F.array_join(F.sort_array(items)["text"], separator))
 
 
 def spread_key(key: Column, *salt: Column) -> Column:

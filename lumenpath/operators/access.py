@@ -155,7 +155,7 @@ def all_groups(platform: Platform, users: DataFrame | None = None, group_ids: It
     ).distinct()
     if users is not None:
         members = members.join(users.select("user_id", "tenant_id"), ["user_id", "tenant_id"], "left_semi")
-    item = F.struct("hops", F.coalesce("depth", F.lit(0)).alias("depth"), "parent_group_id", "group_id", F.col("name").alias("text"))
+    order = ["hops", F.coalesce("depth", F.lit(0)).alias("depth"), "parent_group_id", "group_id"]
     return members.join(placed, ["group_id", "tenant_id"]).groupBy("user_id", "tenant_id").agg(
-        join_sorted(F.collect_list(item)).alias("all_groups")
+        join_sorted(order, "name").alias("all_groups")
     )

@@ -19,7 +19,7 @@ def choice_answers(platform: Platform) -> DataFrame:
     choices = platform.choices.where("is_active").select("choice_id", "activity_id", "tenant_id", "text")
     picked = platform.choice_answers.where("is_correct").select("attempt_id", "activity_id", "choice_id", "tenant_id")
     return picked.join(choices, ["choice_id", "activity_id", "tenant_id"]).groupBy("attempt_id", "activity_id", "tenant_id").agg(
-        join_sorted(F.collect_list(F.struct("choice_id", "text"))).alias("choice_text")
+        join_sorted(["choice_id"], "text").alias("choice_text")
     )
 
 
@@ -37,7 +37,7 @@ def form_answers(platform: Platform) -> DataFrame:
         .withColumn("text", F.concat_ws(", ", "choice", "essay_text", F.col("scale").cast("string")))
     )
     return pieces.groupBy("attempt_id", "activity_id", "tenant_id").agg(
-        join_sorted(F.collect_list(F.struct("question_id", "choice_id", "text"))).alias("form_text")
+        join_sorted(["question_id", "choice_id"], "text").alias("form_text")
     )
 
 
@@ -51,7 +51,7 @@ def minigame_answers(platform: Platform) -> DataFrame:
         .join(picked, keys, "left")
         .join(names, ["choice_id", "tenant_id"], "left")
         .groupBy("attempt_id", "tenant_id")
-        .agg(join_sorted(F.collect_list(F.struct("question_id", "choice_id", "text"))).alias("minigame_text"))
+        .agg(join_sorted(["question_id", "choice_id"], "text").alias("minigame_text"))
     )
 
 

@@ -48,23 +48,22 @@ def participation(platform: Platform) -> DataFrame:
     )
 
 
-def activity_weight(platform: Platform, rows: DataFrame) -> DataFrame:
-    """Adds ``activity_weight``: the user's own weight, else the module's ``default_weight``."""
-    keys = ["user_id", "tenant_id", "module_id", "activity_id"]
-    own = platform.user_weights.select(*keys, F.col("weight").alias("_own_weight"))
-    return rows.join(own, keys, "left").withColumn("activity_weight", F.coalesce("_own_weight", "default_weight")).drop("_own_weight")
+def catalogue(platform: Platform) -> DataFrame:
+    """Everything about an activity in its place that does not depend on the user."""
+    modules = platform.modules.select("module_id", "tenant_id", "starts_at", "ends_at")
+    types = platform.activity_types.select(F.col("type_id").alias("activity_type_id"), "requires_review")
+    return hierarchy(platform).join(modules, ["module_id", "tenant_id"]).join(types, "activity_type_id", "left")
 
 
 def activity_facts(platform: Platform, as_of: datetime | str) -> DataFrame:
-    """Participation by activity with access, answers, weight and status; ids only, no names."""
-    content = hierarchy(platform).select(
-        "tenant_id", "environment_id", "track_id", "module_id", "activity_id", "activity_type_id",
-        "activity_workload", "default_weight",
-    )
-    modules = platform.modules.select("module_id", "tenant_id", "starts_at", "ends_at")
-    types = platform.activity_types.select(F.col("type_id").alias("activity_type_id"), "requires_review")
-    catalogue = content.join(modules, ["module_id", "tenant_id"]).join(types, "activity_type_id", "left")
-    plan = participation(platform).join(catalogue, ["module_id", "tenant_id", "environment_id"])
+    """Participation by activity with access, answers, weight, status and the catalogue's columns.
+
+    Only ids travel through the shuffles of the fact joins; the catalogue's columns, which are the wide
+    and repetitive ones, are joined to the result.
+    """
+    place = ["tenant_id", "environment_id", "module_id", "activity_id"]
+    content = catalogue(platform)
+    plan = participation(platform).join(content.select(*place), ["module_id", "tenant_id", "environment_id"])
     plan = plan.withColumn("_attempt", spread_key(F.col("attempt_id"), F.col("user_id"), F.col("module_id"), F.col("tenant_id")))
 
     per_activity = ["_attempt", "tenant_id", "activity_id"]
@@ -76,29 +75,26 @@ def activity_facts(platform: Platform, as_of: datetime | str) -> DataFrame:
         F.col("attempt_id").alias("_attempt"), "tenant_id", "activity_id", "user_id", "environment_id", "answered_at",
         F.col("created_at").alias("answer_registered_at"), "hit_ratio", "essay_text", "feedback", "is_reviewed",
     )
-    choices = choice_answers(platform).withColumnRenamed("attempt_id", "_attempt")
-    forms = form_answers(platform).withColumnRenamed("attempt_id", "_attempt")
-    games = minigame_answers(platform).withColumnRenamed("attempt_id", "_attempt")
-    facts = (
+    texts = choice_answers(platform).join(form_answers(platform), ["attempt_id", "activity_id", "tenant_id"], "full")
+    games = minigame_answers(platform)
+    own_weights = platform.user_weights.select("user_id", "tenant_id", "module_id", "activity_id", F.col("weight").alias("_own_weight"))
+    return (
         plan.join(access, per_activity, "left")
-        .join(choices, per_activity, "left")
-        .join(forms, per_activity, "left")
-        .join(games, ["_attempt", "tenant_id"], "left")
+        .join(texts.withColumnRenamed("attempt_id", "_attempt"), per_activity, "left")
+        .join(games.withColumnRenamed("attempt_id", "_attempt"), ["_attempt", "tenant_id"], "left")
         .join(answers, [*per_activity, "user_id", "environment_id"], "left")
+        .join(own_weights, ["user_id", "tenant_id", "module_id", "activity_id"], "left")
+        .join(content, place)
         .withColumn("answer_text", answer_text())
         .withColumn("activity_status", activity_status(instant(as_of)))
-        .drop("_attempt", "choice_text", "form_text", "minigame_text", "essay_text")
+        .withColumn("activity_weight", F.coalesce("_own_weight", "default_weight"))
+        .drop("_attempt", "_own_weight", "choice_text", "form_text", "minigame_text", "essay_text")
     )
-    return activity_weight(platform, facts)
 
 
 def activity_time_gold(platform: Platform, as_of: datetime | str) -> DataFrame:
     """The gold table.  ``activity_status`` holds the canonical code; fields of exempt rows are blank."""
     facts = activity_facts(platform, as_of)
-    names = hierarchy(platform).select(
-        "tenant_id", "environment_id", "module_id", "activity_id", "environment_name", "track_name", "module_name",
-        "activity_name", "statement", "environment_active", "track_active", "module_active", "activity_active",
-    )
     users = platform.users.select("user_id", "tenant_id", "full_name", "email", "login", "is_active")
     group = platform.groups.select("group_id", "tenant_id", "name")
     child = group.select(F.col("group_id").alias("child_group_id"), "tenant_id", F.col("name").alias("child_group_name"))
@@ -110,8 +106,7 @@ def activity_time_gold(platform: Platform, as_of: datetime | str) -> DataFrame:
     ).select("activity_type_id", "tenant_id", F.col("text").alias("activity_type"))
 
     rows = (
-        facts.join(names, ["tenant_id", "environment_id", "module_id", "activity_id"])
-        .join(child, ["child_group_id", "tenant_id"])
+        facts.join(child, ["child_group_id", "tenant_id"])
         .join(parent, ["parent_group_id", "tenant_id"], "left")
         .join(type_names, ["activity_type_id", "tenant_id"], "left")
         .join(users, ["user_id", "tenant_id"])

@@ -48,7 +48,7 @@ def finished_module_names(platform: Platform) -> DataFrame:
         closed.join(excused, keys, "left_anti")
         .join(modules, ["module_id", "tenant_id"])
         .groupBy(*TRACK_KEYS)
-        .agg(join_sorted(F.collect_list(F.struct("module_id", "text"))).alias("finished_modules_text"))
+        .agg(join_sorted(["module_id"], "text").alias("finished_modules_text"))
     )
 
 

@@ -1,0 +1 @@
+"""Intentionally empty: the reports are batch jobs over tables; there is no stream to read."""
