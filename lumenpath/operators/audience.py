@@ -14,6 +14,7 @@ from lumenpath.functions.predicates import is_real_user, mentions, text_matches,
 from lumenpath.sources import Platform
 
 WHO = ["user_id", "tenant_id"]
+WORD_BITS = 62  # criteria per bigint mask; longer lists use several words
 
 # Attribute types that criteria know.
 TEXT, INTEGER, DATE, MULTIPLE, SELECT = 1, 2, 4, 6, 7
@@ -239,14 +240,14 @@ def audience(platform: Platform, include: Sequence[Criterion], exclude: Sequence
     slots = {key: place for place, (key, _) in enumerate(found)}
     union = None
     for key, users in found:
-        marked = users.withColumn("word", F.lit(slots[key] // 62)).withColumn("bits", F.lit(1 << slots[key] % 62).cast("bigint"))
+        marked = users.withColumn("word", F.lit(slots[key] // WORD_BITS)).withColumn("bits", F.lit(1 << slots[key] % WORD_BITS).cast("bigint"))
         union = marked if union is None else union.unionByName(marked)
     needed: dict[tuple[str, int], int] = {}
     for criterion in include:
         if criterion.kind != "user":
             place = slots[criterion.key]
-            word = (criterion.tenant_id, place // 62)
-            needed[word] = needed.get(word, 0) | 1 << place % 62
+            word = (criterion.tenant_id, place // WORD_BITS)
+            needed[word] = needed.get(word, 0) | 1 << place % WORD_BITS
     masks = spark.createDataFrame([(t, w, m) for (t, w), m in needed.items()], "tenant_id string, word int, mask bigint")
     words = masks.groupBy("tenant_id").agg(F.count("*").alias("words"))
     covered = (
@@ -254,7 +255,7 @@ def audience(platform: Platform, include: Sequence[Criterion], exclude: Sequence
         .join(masks, ["tenant_id", "word"])
         .where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
     )
-    if len(found) <= 62:
+    if len(found) <= WORD_BITS:
         qualified = covered.select(*WHO)
     else:
         qualified = covered.groupBy(*WHO).agg(F.count("*").alias("met")).join(words, "tenant_id").where("met = words").select(*WHO)

@@ -165,13 +165,14 @@ def test_status_criterion_reaches_inactive_users(p):
     assert members(p, [criterion("userStatus", "SU", entity_id=0)]) == {(2, "t1")}
 
 
-def test_more_criteria_than_one_mask_word_holds(spark, p):
-    names = [(i, "t1", f"t1_a{i}", 2, True) for i in range(100, 170)]
-    values = [(i, 1, "US", i, None, "5", None, None, "t1") for i in range(100, 170)] + [(i + 500, 5, "US", i, None, "5", None, None, "t1") for i in range(100, 169)]
+def test_more_criteria_than_one_mask_word_holds(spark, p, monkeypatch):
+    monkeypatch.setattr(audience, "WORD_BITS", 2)
+    names = [(i, "t1", f"t1_a{i}", 2, True) for i in range(100, 105)]
+    values = [(i, 1, "US", i, None, "5", None, None, "t1") for i in range(100, 105)] + [(i + 500, 5, "US", i, None, "5", None, None, "t1") for i in range(100, 104)]
     wide = platform_fixture.build(
         spark, attributes=(platform_fixture.TABLES["attributes"][0], names), entity_attributes=(platform_fixture.TABLES["entity_attributes"][0], values)
     )
-    assert members(wide, [criterion("equal_to", attribute_id=i, entity_id=0, value="5") for i in range(100, 170)]) == {(1, "t1")}
+    assert members(wide, [criterion("equal_to", attribute_id=i, entity_id=0, value="5") for i in range(100, 105)]) == {(1, "t1")}
 
 
 def test_page_shows_the_size_of_the_whole_audience(p):
