@@ -11,6 +11,7 @@ from lumenpath.functions import codes
 from lumenpath.functions.exprs import join_sorted
 from lumenpath.functions.predicates import one_of, where_all
 from lumenpath.operators.latest import first_per_key
+from lumenpath.operators.sizes import BROADCAST_BYTES, measured_bytes
 from lumenpath.sources import Platform
 
 # How far an admin profile reaches, strongest first.
@@ -31,9 +32,12 @@ def admin_profile(platform: Platform, admins: DataFrame) -> DataFrame:
     kind = F.col("access_kind")
     strength = F.when(kind == ANY_GROUP, 1).when(kind == TOP_DOWN, 2).when(kind == SPECIFIC, 3).otherwise(4)
     strongest = first_per_key(held.where("is_active").drop("sees_ungrouped"), ["admin_id", "tenant_id"], [strength, F.col("profile_id")])
-    return strongest.join(ungrouped, ["admin_id", "tenant_id"]).select(
+    profile = strongest.join(ungrouped, ["admin_id", "tenant_id"]).select(
         "admin_id", "tenant_id", "profile_id", "access_kind", "sees_ungrouped"
     )
+    # One row per admin at most, so the size of the request bounds it.  The branches join it on the tenant
+    # alone; a shuffle there would send each tenant to a single task.
+    return F.broadcast(profile) if measured_bytes(admins) <= BROADCAST_BYTES // 16 else profile
 
 
 def _reachable_groups(platform: Platform, profiles: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from lumenpath.functions import codes
 from lumenpath.functions.predicates import one_of
 from lumenpath.operators.access import admin_frame, visible_to
+from lumenpath.operators.sizes import broadcast_if_small
 from lumenpath.params import ReportParams
 from lumenpath.sources import Platform
 
@@ -25,7 +26,8 @@ def visible_users(platform: Platform, admins: DataFrame) -> DataFrame:
 
 
 def visible_environments(platform: Platform, admins: DataFrame) -> DataFrame:
-    return visible_to(platform, admins, codes.ENVIRONMENT, "environment_id")
+    """Environments are few: with a measured size the rows of a report are tested against them without a shuffle."""
+    return broadcast_if_small(visible_to(platform, admins, codes.ENVIRONMENT, "environment_id"))
 
 
 def status_filter(column: Column, statuses: tuple[str, ...]) -> Column | None:

@@ -13,6 +13,7 @@ from lumenpath.operators.answers import answer_text, choice_answers, form_answer
 from lumenpath.operators.content import hierarchy, module_roles, real_users
 from lumenpath.operators.labels import label_text
 from lumenpath.operators.latest import first_group, latest_attempt
+from lumenpath.operators.sizes import broadcast_if_small
 from lumenpath.operators.status import activity_status
 from lumenpath.sources import Platform
 
@@ -49,10 +50,14 @@ def participation(platform: Platform) -> DataFrame:
 
 
 def catalogue(platform: Platform) -> DataFrame:
-    """Everything about an activity in its place that does not depend on the user."""
+    """Everything about an activity in its place that does not depend on the user, type name included."""
     modules = platform.modules.select("module_id", "tenant_id", "starts_at", "ends_at")
-    types = platform.activity_types.select(F.col("type_id").alias("activity_type_id"), "requires_review")
-    return hierarchy(platform).join(modules, ["module_id", "tenant_id"]).join(types, "activity_type_id", "left")
+    types = platform.activity_types.select(F.col("type_id").alias("activity_type_id"), "requires_review", "label_id")
+    content = hierarchy(platform).join(modules, ["module_id", "tenant_id"]).join(types, "activity_type_id", "left")
+    names = label_text(platform, content.select("label_id", "tenant_id"), ACTIVITY_LANGUAGE).select(
+        "label_id", "tenant_id", F.col("text").alias("activity_type")
+    )
+    return content.join(names, ["label_id", "tenant_id"], "left").drop("label_id")
 
 
 def activity_facts(platform: Platform, as_of: datetime | str) -> DataFrame:
@@ -62,7 +67,7 @@ def activity_facts(platform: Platform, as_of: datetime | str) -> DataFrame:
     and repetitive ones, are joined to the result.
     """
     place = ["tenant_id", "environment_id", "module_id", "activity_id"]
-    content = catalogue(platform)
+    content = broadcast_if_small(catalogue(platform))
     plan = participation(platform).join(content.select(*place), ["module_id", "tenant_id", "environment_id"])
     plan = plan.withColumn("_attempt", spread_key(F.col("attempt_id"), F.col("user_id"), F.col("module_id"), F.col("tenant_id")))
 
@@ -99,16 +104,9 @@ def activity_time_gold(platform: Platform, as_of: datetime | str) -> DataFrame:
     group = platform.groups.select("group_id", "tenant_id", "name")
     child = group.select(F.col("group_id").alias("child_group_id"), "tenant_id", F.col("name").alias("child_group_name"))
     parent = group.select(F.col("group_id").alias("parent_group_id"), "tenant_id", F.col("name").alias("parent_group_name"))
-    types = platform.activity_types.select(F.col("type_id").alias("activity_type_id"), "label_id")
-    wanted = types.join(platform.activities.select(F.col("type_id").alias("activity_type_id"), "tenant_id").distinct(), "activity_type_id")
-    type_names = wanted.join(
-        label_text(platform, wanted, ACTIVITY_LANGUAGE).select("label_id", "tenant_id", "text"), ["label_id", "tenant_id"]
-    ).select("activity_type_id", "tenant_id", F.col("text").alias("activity_type"))
-
     rows = (
         facts.join(child, ["child_group_id", "tenant_id"])
         .join(parent, ["parent_group_id", "tenant_id"], "left")
-        .join(type_names, ["activity_type_id", "tenant_id"], "left")
         .join(users, ["user_id", "tenant_id"])
     )
     counted = F.col("activity_status") != "exempted"

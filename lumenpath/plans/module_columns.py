@@ -14,6 +14,7 @@ from lumenpath.operators.access import all_groups
 from lumenpath.operators.attributes import unique_headers, with_attribute_columns
 from lumenpath.operators.content import module_hierarchy, module_roles, real_users
 from lumenpath.operators.latest import first_group, latest_attempt
+from lumenpath.operators.sizes import broadcast_if_small
 from lumenpath.operators.status import environment_status_from_modules, module_column_status, module_window
 from lumenpath.params import ReportParams
 from lumenpath.plans.common import admins_for, status_filter, visible_environments, visible_users
@@ -57,7 +58,7 @@ def module_column_facts(platform: Platform, params: ReportParams, admins: DataFr
         .join(exempt, KEYS, "left")
         .join(users.select(*who, "is_active"), who)
         .join(first_group(platform), who)
-        .join(content.join(modules, ["module_id", "tenant_id"]), ["module_id", "tenant_id", "environment_id"])
+        .join(broadcast_if_small(content.join(modules, ["module_id", "tenant_id"])), ["module_id", "tenant_id", "environment_id"])
         .withColumn("is_exempt", F.coalesce("_exempt", F.lit(False)))
         .withColumn("is_done", F.coalesce("is_done", F.lit(False)))
         .withColumn("is_approved", F.coalesce("is_approved", F.lit(False)))

@@ -14,6 +14,7 @@ from lumenpath.operators.content import module_hierarchy, module_roles, real_use
 from lumenpath.operators.labels import environment_switch
 from lumenpath.operators.latest import attempt_history, first_group, latest_attempt
 from lumenpath.operators.provenance import with_provenance
+from lumenpath.operators.sizes import broadcast_if_small
 from lumenpath.operators.status import module_status, module_window
 from lumenpath.params import ReportParams
 from lumenpath.plans.common import admins_for, status_filter, visible_environments, visible_users
@@ -90,8 +91,8 @@ def module_status_facts(
         # Any of the listed roles on the module lets all of the user's links to it through.
         listed = module_roles(platform, params.role_ids).select(*KEYS)
         roles = roles.join(listed, KEYS, "left_semi")
-    catalogue = module_catalogue(platform, params).join(
-        visible_environments(platform, admins), ["environment_id", "tenant_id"], "left_semi"
+    catalogue = broadcast_if_small(
+        module_catalogue(platform, params).join(visible_environments(platform, admins), ["environment_id", "tenant_id"], "left_semi")
     )
     exempt = platform.exemptions.select(*KEYS, "exempted_at", F.col("starts_at").alias("exempt_starts_at"))
     links = roles.select(*KEYS, "role_id", "origin_created", "created_by", F.col("created_at").alias("linked_at"))
