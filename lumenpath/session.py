@@ -10,8 +10,6 @@ def build_session(app: str = "lumenpath", cpus: int | str = "*", memory: str = "
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.driver.memory", memory)
-        # Long join chains give generated methods above 8,000 bytecodes, which HotSpot leaves interpreted by default.
-        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
