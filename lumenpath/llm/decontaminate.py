@@ -62,6 +62,13 @@ class Automaton:
             self.short[state].append((matched, tuple(found)))
         self.short = dict(self.short)
 
+    @classmethod
+    def of(cls, parts: dict) -> Automaton:
+        """The automaton with the attributes ``vars()`` gave for another one."""
+        made = cls.__new__(cls)
+        made.__dict__.update(parts)
+        return made
+
     def _extend(self, last: int, word: int) -> int:
         out, link, length = self._next, self.link, self.length
 
@@ -175,12 +182,12 @@ _FOUND = "n_words bigint, spans array<int>, items array<string>"
 
 def _scan(docs: DataFrame, automaton: Automaton, again: bool, keep_text: bool) -> DataFrame:
     """``spans`` holds the first and the last + 1 number of each run of hit words, one after the other."""
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(automaton))
     kept = [field for field in docs.schema.fields if field.name not in ("n_words", "spans", "items") and (keep_text or field.name != "text")]
     schema = T.StructType(kept + T._parse_datatype_string(_FOUND).fields)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto = shared.value
+        auto = Automaton.of(shared.value)
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words(part.column("text"), NOT_ALPHANUMERIC)
