@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenpath.llm import decontaminate
+from lumenpath.llm import bpe, decontaminate, jaccard, line_dedup, quality
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -22,6 +22,67 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+def remainder(n: int):
+    """crc32 of a document's id as text, modulo n; rows without an id get null."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@query
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share at least 80 of 100 word shingles with another one of the group."""
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each text and the bytes they decode to."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    decoded = bpe.decode(encoded.select("doc_id", "n_tokens", "ids"), path)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a document is of good quality; documents with remainder 2 are not learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(remainder(4) != 2).select("doc_id", F.col("quality").alias("label"))
+    scored = quality.score(docs, quality.fit(docs, labels))
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document, and how many of them go because other documents hold them too."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", kept)
+
+
+LLM_ORACLES["op8_line_dedup"] = r"""
+with lines as (
+    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as place
+    from documents
+), keys as (
+    select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+    from lines
+), spread as (
+    select key, max(doc_id) as keeper from keys where length(key) >= 40
+    group by key having count(distinct doc_id) >= 5
+), judged as (
+    select k.*, s.key is not null and k.doc_id <> s.keeper as gone from keys k left join spread s on k.key = s.key
+)
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not gone), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+
 @query
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie inside windows of benchmark items, and the items they come from."""
