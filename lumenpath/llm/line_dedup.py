@@ -134,7 +134,7 @@ def dedup_lines(
     joined = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), others, "text")
     joined = joined.join(lost, "doc_id", "left").select("row", "text", "h1", "h2")
     schema = T.StructType([f for f in joined.schema.fields if f.name in ("row", "text")])
-    schema = schema.add("n_lines", "bigint").add("n_dropped", "bigint")
+    schema = schema.add("n_lines", T.LongType()).add("n_dropped", T.LongType())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
