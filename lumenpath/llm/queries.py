@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenpath.llm import bpe, decontaminate, jaccard, line_dedup, quality
+from lumenpath.llm import bpe, decontaminate, hamming, jaccard, language, language_model, line_dedup, page_text, quality, url_filter
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -27,6 +27,43 @@ def remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+LISTED = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path and verdict of every page's URL.
+
+    A page's label is the verdict of the listed rule that fits it, or else follows from ``labels`` of the document whose
+    number ends its path: block if it is toxic or of poor quality.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    bad = F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")) == 1
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.when(bad, "block").otherwise("allow").alias("known"))
+    url = F.col("url")
+    named = pages.select("url", F.expr("try_cast(regexp_extract(split(split(url, '[?]')[0], '#')[0], '/([0-9]+)[^0-9/]*/?$', 1) as bigint)").alias("doc_id"))
+    verdict = url_filter.listed(url_filter.host(url), url_filter.path(url), LISTED)[1]
+    labelled = named.join(labels, "doc_id", "left").select("url", F.coalesce(verdict, "known").alias("label"))
+    judged = url_filter.judge(pages, url_filter.mine(labelled), LISTED)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "mined_rule")
+
+
+@query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    texts = page_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a model of those whose remainder is not 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(remainder(7) == 2, F.lit(False))
+    scored = language_model.score(docs, docs.where(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents that share at least 80 of 100 word shingles with another one of the group."""
@@ -44,6 +81,16 @@ def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by profiles of those whose remainder is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    profiles = language.learn(docs.where(~held_out))
+    found = language.identify(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability that a document is of good quality; documents with remainder 2 are not learned from."""
@@ -92,3 +139,25 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         "doc_id", "n_words", decontaminate.n_hit(), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+@query
+def op10_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors, by Hamming distance of sign codes, of every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return hamming.nearest(vectors, vectors.where(F.col("id") % 20 == 0), k=10)
+
+
+LLM_ORACLES["op10_exact_topk_search"] = """
+with codes as (
+    select distinct vec_id as id, list_transform(embedding, x -> case when x > 0 then 1 else 0 end) as code
+    from embeddings where vec_id is not null and len(embedding) = 64
+), pairs as (
+    select q.id as query_id, q.code as query, d.id as neighbor_id, d.code as code,
+           cast(list_sum(list_transform(list_zip(q.code, d.code), p -> case when p[1] <> p[2] then 1 else 0 end)) as integer) as distance
+    from codes q, codes d where q.id % 20 = 0 and not (q.id = d.id and q.code = d.code)
+), ranked as (
+    select *, cast(row_number() over (partition by query_id, query order by distance, neighbor_id, code) as integer) as rank from pairs
+)
+select query_id, rank, neighbor_id, distance from ranked where rank <= 10
+"""
