@@ -42,41 +42,35 @@ def line_key(line: str, min_chars: int = MIN_CHARS) -> tuple[int, int] | None:
 
 
 class LineRuns:
-    """Sorted runs ``h1, h2, n_docs, keeper``; ``keeper`` is set in the one run that saw the key first."""
+    """Sorted runs ``h1, h2, n_docs, keeper``; ``keeper`` is set in the one run that saw the key first.
+
+    All runs are partitions of one bucketed table, so reading several of them is one scan that keeps the buckets together.
+    """
 
     def __init__(self, spark: SparkSession, fan_in: int = FAN_IN):
         self.spark, self.fan_in = spark, fan_in
         self.name = f"line_runs_{uuid.uuid4().hex[:12]}"
         self.folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{self.name}"
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.levels: dict[int, list[DataFrame]] = defaultdict(list)
+        self.levels: dict[int, list[int]] = defaultdict(list)  # numbers of the runs on each level
         self._written = 0
 
-    def runs(self) -> list[DataFrame]:
-        return [run for level in sorted(self.levels) for run in self.levels[level]]
+    def read(self, runs: list[int] | None = None) -> DataFrame:
+        wanted = [run for level in self.levels.values() for run in level] if runs is None else runs
+        return self.spark.table(self.name).where(F.col("run").isin(wanted)).drop("run")
 
-    def merged(self, runs: list[DataFrame] | None = None) -> DataFrame:
-        every = self.runs() if runs is None else runs
-        union = every[0]
-        for run in every[1:]:
-            union = union.union(run)
-        return union.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
+    def merged(self, runs: list[int] | None = None) -> DataFrame:
+        return self.read(runs).groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
 
-    def add(self, batch: DataFrame) -> DataFrame:
-        """Adds distinct ``h1, h2, doc_id`` rows, whose ids all lie below those added before, and returns the run written."""
+    def add(self, batch: DataFrame) -> None:
+        """Adds distinct ``h1, h2, doc_id`` rows, whose ids all lie below those added before."""
         own = batch.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
-        earlier = self.runs()
-        if earlier:
-            known = earlier[0]
-            for run in earlier[1:]:
-                known = known.union(run)
-            known = known.where("keeper is not null").select("h1", "h2", F.lit(True).alias("known"))
+        if self._written:
+            known = self.read().where("keeper is not null").select("h1", "h2", F.lit(True).alias("known"))
             own = own.join(known.hint("merge"), ["h1", "h2"], "left")
             own = own.select("h1", "h2", "n_docs", F.when(F.col("known").isNull(), F.col("keeper")).alias("keeper"))
-        run = self._write(own)
-        self.levels[0].append(run)
+        self.levels[0].append(self._write(own))
         self._compact()
-        return run
 
     def _compact(self) -> None:
         level = 0
@@ -85,11 +79,12 @@ class LineRuns:
             self.levels[level] = []
             level += 1
 
-    def _write(self, run: DataFrame) -> DataFrame:
-        name, self._written = f"{self.name}_{self._written}", self._written + 1
-        writer = run.repartition(self.buckets, "h1").write.bucketBy(self.buckets, "h1").sortBy("h1", "h2")
-        writer.format("parquet").option("path", f"{self.folder}/{name}").saveAsTable(name)
-        return self.spark.table(name)
+    def _write(self, run: DataFrame) -> int:
+        number, self._written = self._written, self._written + 1
+        writer = run.withColumn("run", F.lit(number)).repartition(self.buckets, "h1").write.mode("append")
+        writer = writer.partitionBy("run").bucketBy(self.buckets, "h1").sortBy("h1", "h2")
+        writer.format("parquet").option("path", f"{self.folder}").saveAsTable(self.name)
+        return number
 
 
 def _holders(docs: DataFrame, min_chars: int) -> DataFrame:
