@@ -150,7 +150,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, bits: int = BIT
         F.pmod(F.xxhash64("code"), F.lit(blocks)).alias("b"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("q"),
         F.lit(False).alias("asks"), "code", "ids",
     ).union(query_codes.select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("b"), F.pmod(F.xxhash64("code"), F.lit(query_blocks)).cast("int").alias("q"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("b"), F.pmod(F.xxhash64("code"), F.lit(query_blocks)).cast("int").alias("q"),
         F.lit(True).alias("asks"), "code", F.lit(None).cast("array<bigint>").alias("ids"),
     )).withColumn("work", F.col("b") * query_blocks + F.col("q"))
     dealt = dealt.repartition(blocks * query_blocks, "work").sortWithinPartitions("work", "asks")
