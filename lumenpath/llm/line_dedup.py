@@ -30,6 +30,7 @@ from lumenpath.sources.staging import Stage, shared_folder
 BLANKS = " \t\n\x0b\x0c\r"
 MIN_CHARS, MIN_DOCS = 40, 5
 BATCHES, FAN_IN = 4, 3
+SALTS = 16
 
 
 def line_key(line: str, min_chars: int = MIN_CHARS) -> tuple[int, int] | None:
@@ -111,8 +112,10 @@ def _doomed(docs: DataFrame, min_chars: int, min_docs: int, batches: int, fan_in
     runs = LineRuns(spark, fan_in)
     for k in range(batches):
         runs.add(held.where(F.col("batch") == k).select("h1", "h2", "doc_id"))
-    lost = runs.merged().where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper")
-    lost = held.join(lost, ["h1", "h2"]).where("doc_id != keeper")
+    # A line may stand in a third of all documents: its holders meet its one row in several tasks.
+    lost = runs.merged().where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = held.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    lost = salted.join(lost, ["h1", "h2", "salt"]).where("doc_id != keeper")
     return lost.groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("lost")).select("doc_id", "lost.h1", "lost.h2")
 
 
