@@ -7,8 +7,9 @@ is missing.  Parts are sized for their own entries, so the filter grows with the
 
 Scoring: parts are broadcast to the workers, at most ``ROUND_BYTES`` of them at a time.  If the filter is larger, the documents
 are visited once for each group of parts; the levels found so far travel with the document through a written table.
-The last visit turns levels into probabilities: P(w | h) = (c(hw) + m P(w | h')) / (c(h) + m), from trigram to unigram, where
-h' lacks the first word of h, a level stands for the middle of the counts it covers, and unigrams are smoothed by adding one.
+The last visit turns levels into probabilities: P(w | h) = (1 - a) P(w | h') + a c(hw) / c(h), from trigram to unigram, where
+h' lacks the first word of h, and P(w | h) = P(w | h') where h is unknown.  A level stands for the middle of the counts it
+covers, and unigrams are smoothed by adding one.
 
 The base score needs exact unigram counts.  The ``FREQUENT`` most frequent words are broadcast; all other words of a document
 are joined with the full table of counts.
@@ -34,7 +35,7 @@ from lumenpath.sources.staging import Stage
 
 END, OPEN = np.uint64(0x656E64), np.uint64(0x6F70656E)  # tokens no word hashes to by design: the end, and what stands before a text
 LEAST = (1, 1, 2)  # least count of an n-gram of 1, 2, 3 words in the filter
-PRIOR = (6.0, 3.0)  # m of bigrams and trigrams
+WEIGHT = (0.1, 0.1)  # a of bigrams and trigrams
 BITS_PER_ENTRY, PROBES = 10, 4
 ROUND_BYTES = 128 << 20
 FREQUENT = 1 << 19
@@ -287,8 +288,8 @@ def _log_probabilities(levels: np.ndarray, model: tuple[int, int, int]) -> float
     before = np.append(texts, one[:-1])
     pair = np.append(texts, two[:-1])
     p = (one + 1) / (tokens + distinct + 1)
-    p = (two + PRIOR[0] * p) / (np.maximum(before, two) + PRIOR[0])
-    p = (three + PRIOR[1] * p) / (np.maximum(pair, three) + PRIOR[1])
+    for weight, context, whole in zip(WEIGHT, (before, pair), (two, three)):
+        p = np.where(context > 0, (1 - weight) * p + weight * whole / np.maximum(np.maximum(context, whole), 1), p)
     return float(np.log10(p).sum())
 
 

@@ -150,11 +150,11 @@ def op10_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_ORACLES["op10_exact_topk_search"] = """
 with codes as (
-    select distinct vec_id as id, list_transform(embedding, x -> case when x > 0 then 1 else 0 end) as code
+    select distinct vec_id as id, list_transform(embedding, lambda x: case when x > 0 then 1 else 0 end) as code
     from embeddings where vec_id is not null and len(embedding) = 64
 ), pairs as (
     select q.id as query_id, q.code as query, d.id as neighbor_id, d.code as code,
-           cast(list_sum(list_transform(list_zip(q.code, d.code), p -> case when p[1] <> p[2] then 1 else 0 end)) as integer) as distance
+           cast(list_sum(list_transform(list_zip(q.code, d.code), lambda p: case when p[1] <> p[2] then 1 else 0 end)) as integer) as distance
     from codes q, codes d where q.id % 20 = 0 and not (q.id = d.id and q.code = d.code)
 ), ranked as (
     select *, cast(row_number() over (partition by query_id, query order by distance, neighbor_id, code) as integer) as rank from pairs

@@ -159,8 +159,8 @@ def brute_model(training, texts):
             before = len(training) if b == "<s>" else seen((b,))
             pair = len(training) if b == "<s>" else seen((a, b))
             p = (seen((c,)) + 1) / (whole + distinct + 1)
-            p = (seen((b, c)) + lm.PRIOR[0] * p) / (max(before, seen((b, c))) + lm.PRIOR[0])
-            p = (seen((a, b, c)) + lm.PRIOR[1] * p) / (max(pair, seen((a, b, c))) + lm.PRIOR[1])
+            for weight, context, found in zip(lm.WEIGHT, (before, pair), (seen((b, c)), seen((a, b, c)))):
+                p = (1 - weight) * p + weight * found / max(context, found) if context else p
             score += math.log10(p)
         yield len(seq) - 2, sum(count[0][t,] > 0 for t in seq[2:]), whole, base, score
 
