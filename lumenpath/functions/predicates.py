@@ -30,6 +30,22 @@ def one_of(column: Column, values: Iterable | None) -> Column | None:
     return column.isin(values) if values else None
 
 
+LITERAL_VALUES = 1000  # a longer list is joined, not written into the plan
+
+
+def keep_listed(df: DataFrame, column: str, values: Iterable | None) -> DataFrame:
+    """Rows whose column holds one of the values; an empty list means no filter.
+
+    A long list becomes a semi-join, its size bounded by the request that carries it.
+    """
+    values = list(dict.fromkeys(values or ()))
+    if len(values) <= LITERAL_VALUES:
+        return where_all(df, one_of(F.col(column), values))
+    kind = df.schema[column].dataType.simpleString()
+    listed = df.sparkSession.createDataFrame([(v,) for v in values], f"`{column}` {kind}")
+    return df.join(F.broadcast(listed), column, "left_semi").select(*df.columns)
+
+
 def either_one_of(columns: Iterable[Column], values: Iterable | None) -> Column | None:
     """Some column holds one of the values."""
     values = list(values or ())

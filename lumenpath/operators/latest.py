@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenpath.functions import codes
+from lumenpath.functions.predicates import either_one_of, where_all
 from lumenpath.sources import Platform
 
 
@@ -43,13 +44,16 @@ def latest_attempt(attempts: DataFrame) -> DataFrame:
     return _with_results(first_per_key(valid_attempts(attempts), ATTEMPT_KEYS, [F.col("attempt_id").desc()]))
 
 
-def attempt_history(attempts: DataFrame, most_recent: int = 100) -> DataFrame:
-    """The most recent attempts per user and module, each with its number counted from the oldest.
+def attempt_history(attempts: DataFrame, most_recent: int | None = None) -> DataFrame:
+    """Every attempt per user and module, or only the most recent ones, each with its number counted from the oldest.
 
-    The number is taken as ``count - rank + 1`` from the newest, so only the kept rows travel: the
+    With a limit the number is taken as ``count - rank + 1`` from the newest, so only the kept rows travel: the
     count is combined on the map side and the ranking is cut to ``most_recent`` rows per key there.
     """
     valid = valid_attempts(attempts)
+    if most_recent is None:
+        oldest_first = F.row_number().over(Window.partitionBy(*ATTEMPT_KEYS).orderBy("attempt_id"))
+        return _with_results(valid.withColumn("attempt_number", oldest_first.cast("bigint")))
     newest_first = F.row_number().over(Window.partitionBy(*ATTEMPT_KEYS).orderBy(F.col("attempt_id").desc()))
     recent = valid.withColumn("_rank", newest_first).where(F.col("_rank") <= most_recent)
     counts = valid.groupBy(*ATTEMPT_KEYS).agg(F.count("*").alias("_count"))
@@ -57,10 +61,11 @@ def attempt_history(attempts: DataFrame, most_recent: int = 100) -> DataFrame:
     return _with_results(numbered.drop("_rank", "_count"))
 
 
-def first_group(platform: Platform, per_environment: bool = True) -> DataFrame:
+def first_group(platform: Platform, per_environment: bool = True, group_ids: tuple[int, ...] = ()) -> DataFrame:
     """One active group per user (and environment) that is attached to an environment, with its parent.
 
-    Groups with an active parent come first, then the lowest group id.
+    Groups with an active parent come first, then the lowest group id.  With ``group_ids`` only groups that are
+    listed, or whose active parent is, can be chosen.
     """
     groups = platform.groups.where("is_active")
     child = groups.select(
@@ -74,6 +79,7 @@ def first_group(platform: Platform, per_environment: bool = True) -> DataFrame:
         (F.col("_parent_id") == F.col("parent_group_id")) & (F.col("tenant_id") == F.col("_tenant")),
         "left",
     ).drop("_parent_id", "_tenant")
+    named = where_all(named, either_one_of([F.col("group_id"), F.col("parent_group_id")], group_ids))
 
     attached = platform.environment_groups.select("environment_id", "group_id", "tenant_id")
     if not per_environment:

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 
 def parse_ids(text) -> tuple[int, ...]:
-    """Comma-separated whole numbers; anything else in the list is left out."""
+    """Comma-separated whole numbers; blanks between commas are skipped.
+
+    Anything else raises, so that a filter is never dropped without notice.
+    """
     if text is None:
         return ()
     if isinstance(text, (list, tuple, set, frozenset)):
         return tuple(int(v) for v in text)
-    return tuple(int(part) for part in str(text).split(",") if part.strip().lstrip("-").isdigit())
+    parts = [part.strip() for part in str(text).split(",") if part.strip()]
+    for part in parts:
+        if not re.fullmatch(r"[+-]?[0-9]+", part):
+            raise ValueError(f"not a whole number: {part!r}")
+    return tuple(map(int, parts))
 
 
 def parse_codes(text) -> tuple[str, ...]:
@@ -69,13 +77,14 @@ class ReportParams:
     show_inactive_activities: bool = False
     show_empty_dates: bool = False
     all_attempts: bool = False
+    attempts_per_module: int | None = None  # with all_attempts: only so many of the newest; None keeps every one
 
     def window(self, name: str) -> Window | None:
         return self.windows.get(name)
 
 
-# Request keys of the activity report and the parameter each one fills.
-_REQUEST_FIELDS = {
+# The keys callers send.  Those of the activity report, and the parameter each one fills.
+_ACTIVITY_FIELDS = {
     "adminId": ("admin_id", lambda v: (parse_ids(v) or (None,))[0]),
     "customerId": ("tenant_id", lambda v: v or None),
     "userStatus": ("user_flags", parse_ids),
@@ -94,26 +103,76 @@ _REQUEST_FIELDS = {
     "showInactiveActivity": ("show_inactive_activities", parse_flag),
     "showEmptyDates": ("show_empty_dates", parse_flag),
 }
-_REQUEST_WINDOWS = {
+_ACTIVITY_WINDOWS = {
     "firstAccessToActivityDate": "first_access",
     "lastActivityAccessDate": "last_access",
     "activityCompletionDate": "completion",
 }
+# Those of the other reports.
+_COMMON_FIELDS = {
+    "adminId": _ACTIVITY_FIELDS["adminId"],
+    "clienteID": _ACTIVITY_FIELDS["customerId"],
+    "usuario": ("user_ids", parse_ids),
+    "userStatus": ("user_flags", parse_ids),
+    "grupo": ("group_ids", parse_ids),
+    "perfilUsuarioTrilhaIds": ("role_ids", parse_ids),
+    "showInactiveCompetition": ("show_inactive_environments", parse_flag),
+}
+_ENVIRONMENTS = {"competicaoId": ("environment_ids", parse_ids)}
+_TRACKS = {"trilhaId": ("track_ids", parse_ids), "showInactiveTrack": ("show_inactive_tracks", parse_flag)}
+_EMPTY_DATES = {"showEmptyDates": ("show_empty_dates", parse_flag)}
+_FIELDS = {
+    "activity": _ACTIVITY_FIELDS,
+    "module_rows": {
+        **_COMMON_FIELDS, **_ENVIRONMENTS, **_TRACKS, **_EMPTY_DATES,
+        "rodadaId": ("module_ids", parse_ids),
+        "showInactiveRound": ("show_inactive_modules", parse_flag),
+        "statusConclusaoRodada": ("statuses", parse_codes),
+        "exibirTodasTentativas": ("all_attempts", parse_flag),
+    },
+    "module_columns": {**_COMMON_FIELDS, "competicaoID": _ENVIRONMENTS["competicaoId"], "statusConclusaoCompeticao": ("statuses", parse_codes)},
+    "track": {
+        **_COMMON_FIELDS, **_ENVIRONMENTS, **_TRACKS, **_EMPTY_DATES,
+        "tipoDeTentativa": ("attempt_types", parse_codes),
+        "statusConclusaoTrilha": ("statuses", parse_codes),
+    },
+    "environment": {**_COMMON_FIELDS, **_ENVIRONMENTS, **_EMPTY_DATES, "statusConclusaoCompeticao": ("statuses", parse_codes)},
+}
+_WINDOWS = {
+    "activity": _ACTIVITY_WINDOWS,
+    "module_rows": {"": "any", "roundStartDate": "start", "roundCompletionDate": "completion", "roundLinkDate": "link"},
+    "module_columns": {},
+    "track": {"trackStartDate": "start", "trackCompletionDate": "completion", "trackLinkDate": "link", "trackExpirationDate": "expiration"},
+    "environment": {
+        "competitionStartDate": "start", "competitionCompletionDate": "completion", "competitionLinkDate": "link",
+        "lastCompetitionAccessDate": "last_access",
+    },
+}
+# What holds where a key is not sent.
+_DEFAULTS = {
+    "activity": {},
+    "module_rows": {"role_ids": (1, 2, 3)},
+    "module_columns": {"role_ids": (1, 2), "user_flags": (1,)},
+    "track": {"role_ids": (1, 2), "user_flags": (1,)},
+    "environment": {},
+}
 
 
-def from_request(request: Mapping[str, object], as_of: datetime) -> ReportParams:
-    """Parameters from a request of strings.  Keys may be padded with blanks; unknown keys raise."""
-    values: dict[str, object] = {}
+def from_request(request: Mapping[str, object], as_of: datetime, report: str = "activity") -> ReportParams:
+    """Parameters of a report from a request of strings.  Keys may be padded with blanks; unknown keys raise."""
+    fields, spans = _FIELDS[report], _WINDOWS[report]
+    values: dict[str, object] = dict(_DEFAULTS[report])
     ends: dict[str, dict[str, datetime | None]] = {}
     for raw_key, raw in request.items():
         key = raw_key.strip()
-        if key in _REQUEST_FIELDS:
-            name, parse = _REQUEST_FIELDS[key]
+        if key in fields:
+            name, parse = fields[key]
             values[name] = parse(raw)
             continue
         for end in ("StartDate", "EndDate"):
-            if key.endswith(end) and key[: -len(end)] in _REQUEST_WINDOWS:
-                ends.setdefault(_REQUEST_WINDOWS[key[: -len(end)]], {})[end] = parse_instant(raw)
+            whole = key if len(key) > len(end) else key[:1].upper() + key[1:]
+            if whole.endswith(end) and whole[: -len(end)] in spans:
+                ends.setdefault(spans[whole[: -len(end)]], {})[end] = parse_instant(raw)
                 break
         else:
             raise KeyError(f"unknown report parameter {raw_key!r}")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenpath.functions import codes
 from lumenpath.functions.exprs import blank_when, day, day_second, instant, percent_text, short_clock
-from lumenpath.functions.predicates import either_one_of, has_window, in_window, where_all
+from lumenpath.functions.predicates import either_one_of, has_window, in_window, one_of, where_all
 from lumenpath.operators.access import all_groups
 from lumenpath.operators.attributes import with_attribute_columns
 from lumenpath.operators.content import real_users
@@ -18,7 +18,7 @@ from lumenpath.operators.progress import (
 from lumenpath.operators.provenance import with_provenance
 from lumenpath.operators.status import environment_status
 from lumenpath.params import ReportParams
-from lumenpath.plans.common import admins_for, status_filter, visible_environments, visible_users
+from lumenpath.plans.common import admins_for, visible_environments, visible_users
 from lumenpath.sources import Platform
 
 
@@ -61,7 +61,7 @@ def environment_facts(
         completion,
         in_window(F.col("last_seen_at"), params.window("last_access"), params.show_empty_dates),
         in_window(F.col("shown_start"), params.window("start"), params.show_empty_dates),
-        status_filter(F.col("environment_status"), params.statuses),
+        one_of(F.col("environment_status"), params.statuses),
     )
 
 
@@ -73,7 +73,7 @@ def environment_report(
     who = ["user_id", "tenant_id"]
     users = platform.users.select(*who, "full_name", "email", "login", "is_active")
     names = platform.environments.select("environment_id", "tenant_id", F.col("name").alias("environment_name"))
-    rows = facts.join(first_group(platform), HOME, "left")
+    rows = facts.join(first_group(platform, group_ids=params.group_ids), HOME, "left")
     rows = where_all(rows, either_one_of([F.col("child_group_id"), F.col("parent_group_id")], params.group_ids))
     rows = with_provenance(platform, rows.join(environment_link(platform, params), HOME), "origin", "creator")
     rows = (

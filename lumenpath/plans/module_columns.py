@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from lumenpath.functions import codes
 from lumenpath.functions.exprs import day_second, decimal_comma, first_chars, instant, money
-from lumenpath.functions.predicates import where_all
-from lumenpath.operators.access import all_groups
+from lumenpath.functions.predicates import one_of, where_all
+from lumenpath.operators.access import all_groups, visible_to
 from lumenpath.operators.attributes import unique_headers, with_attribute_columns
 from lumenpath.operators.content import module_hierarchy, module_roles, real_users
 from lumenpath.operators.latest import first_group, latest_attempt
 from lumenpath.operators.sizes import broadcast_if_small
 from lumenpath.operators.status import environment_status_from_modules, module_column_status, module_window
 from lumenpath.params import ReportParams
-from lumenpath.plans.common import admins_for, status_filter, visible_environments, visible_users
+from lumenpath.plans.common import admins_for, visible_environments, visible_users
 from lumenpath.sources import Platform
 
 KEYS = ["user_id", "tenant_id", "module_id"]
@@ -119,32 +119,43 @@ def environment_totals(facts: DataFrame, params: ReportParams) -> DataFrame:
     )
 
 
-def module_headers(platform: Platform, params: ReportParams) -> list[tuple[int, str]]:
-    """``(module_id, header)`` of the modules that become columns, in column order.
+MOST_COLUMNS = 10_000
 
-    The index in a header is the module's place in its track by start date, order and id.  Headers are
-    metadata of the plan (one short row per module in the catalogue) and are read on the driver; equal
-    headers get `` (n)``.
+
+def module_labels(platform: Platform, params: ReportParams, environments: DataFrame) -> DataFrame:
+    """``(module_id, tenant_id, header, order_number)`` of the modules of the given environments.
+
+    The index in a header is the module's place in its track by start date, order and id.
     """
     placed = module_hierarchy(
         platform,
         ReportParams(as_of=params.as_of, environment_ids=params.environment_ids, show_inactive_environments=params.show_inactive_environments),
-    ).select("module_id", "tenant_id", "track_id", "track_name", "module_name").distinct()
+    ).join(environments, ["environment_id", "tenant_id"], "left_semi").select("module_id", "tenant_id", "track_id", "track_name", "module_name").distinct()
     order = platform.modules.select("module_id", "tenant_id", "order_number", "starts_at")
     in_track = Window.partitionBy("tenant_id", "track_id").orderBy("starts_at", "order_number", "module_id")
-    rows = (
-        placed.join(order, ["module_id", "tenant_id"])
-        .withColumn("header", module_label(F.row_number().over(in_track), F.col("track_name"), F.col("module_name")))
-        .groupBy("module_id").agg(F.min("header").alias("header"), F.min("order_number").alias("order_number"))
-        .orderBy("order_number", F.col("module_id").cast("string"))
-        .collect()
+    header = module_label(F.row_number().over(in_track), F.col("track_name"), F.col("module_name"))
+    return (
+        placed.join(order, ["module_id", "tenant_id"]).withColumn("header", header)
+        .groupBy("module_id", "tenant_id").agg(F.min("header").alias("header"), F.min("order_number").alias("order_number"))
     )
+
+
+def module_headers(labels: DataFrame) -> list[tuple[int, str, str]]:
+    """``(module_id, label, header)`` of the modules that become columns, in column order.
+
+    Tenants share a column only where both the module's id and its label agree.  Headers are metadata of the
+    plan (one short row per column, at most ``MOST_COLUMNS``) and are read on the driver; equal ones get `` (n)``.
+    """
+    columns = labels.groupBy("module_id", "header").agg(F.min("order_number").alias("order_number"))
+    rows = columns.orderBy("order_number", F.col("module_id").cast("string"), "header").limit(MOST_COLUMNS + 1).collect()
+    if len(rows) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} module columns; narrow the report by tenant or environment")
     repeats, seen, headers = Counter(row.header for row in rows), Counter(), []
     for row in rows:
         seen[row.header] += 1
         headers.append(f"{row.header} ({seen[row.header]})" if repeats[row.header] > 1 else row.header)
     fresh = unique_headers(headers, FIXED_COLUMNS + ["tenant_id"])
-    return [(row.module_id, header) for row, header in zip(rows, fresh)]
+    return [(row.module_id, row.header, header) for row, header in zip(rows, fresh)]
 
 
 def module_status_columns(platform: Platform, params: ReportParams, admins: DataFrame | None = None) -> DataFrame:
@@ -154,13 +165,17 @@ def module_status_columns(platform: Platform, params: ReportParams, admins: Data
     """
     facts = module_column_facts(platform, params, admins)
     platform = platform.for_tenant(params.tenant_id)
+    seen = visible_to(platform, admins_for(platform, params, admins), codes.ENVIRONMENT, "environment_id")
+    labels = module_labels(platform, params, seen)
     who = ["user_id", "tenant_id"]
-    totals = where_all(environment_totals(facts, params), status_filter(F.col("environment_status"), params.statuses))
-    headers = module_headers(platform, params)
+    totals = where_all(environment_totals(facts, params), one_of(F.col("environment_status"), params.statuses))
+    headers = module_headers(labels)
     groups = ["parent_group_id", "parent_group_name", "child_group_id", "child_group_name"]
     keys = [*HOME, "environment_name", "role_id", "is_active", *groups]
-    wide = facts.select(*keys, "module_id", "cell").groupBy(*keys).pivot("module_id", [m for m, _ in headers]).agg(F.max("cell"))
-    wide = wide.toDF(*keys, *[header for _, header in headers])
+    column = F.concat(F.col("module_id").cast("string"), F.lit(":"), F.col("header")).alias("column")
+    cells = facts.join(broadcast_if_small(labels.select("module_id", "tenant_id", "header")), ["module_id", "tenant_id"]).select(*keys, column, "cell")
+    wide = cells.groupBy(*keys).pivot("column", [f"{module}:{label}" for module, label, _ in headers]).agg(F.max("cell"))
+    wide = wide.toDF(*keys, *[header for *_, header in headers])
     scores = platform.environment_scores.where("ranking_id = 0").select(*HOME, "score")
     users = platform.users.select(*who, "full_name", "email", "login")
     rows = (
@@ -177,5 +192,5 @@ def module_status_columns(platform: Platform, params: ReportParams, admins: Data
         "environment_score": score,
         "environment_status": codes.label_of(F.col("environment_status"), codes.DICTIONARIES["environment_status"]),
     })
-    columns = [F.col(f"`{c}`") for c in ["tenant_id", *FIXED_COLUMNS, *[header for _, header in headers]]]
+    columns = [F.col(f"`{c}`") for c in ["tenant_id", *FIXED_COLUMNS, *[header for *_, header in headers]]]
     return with_attribute_columns(platform, report.select(*columns))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenpath.functions import codes
 from lumenpath.functions.exprs import clock, day_minute, decimal_comma, first_chars, instant, money, to_id
-from lumenpath.functions.predicates import any_of, either_one_of, has_window, in_window, where_all
+from lumenpath.functions.predicates import any_of, either_one_of, has_window, in_window, one_of, where_all
 from lumenpath.operators.access import all_groups
 from lumenpath.operators.attributes import with_attribute_columns
 from lumenpath.operators.content import module_hierarchy, module_roles, real_users
@@ -17,7 +17,7 @@ from lumenpath.operators.provenance import with_provenance
 from lumenpath.operators.sizes import broadcast_if_small
 from lumenpath.operators.status import module_status, module_window
 from lumenpath.params import ReportParams
-from lumenpath.plans.common import admins_for, status_filter, visible_environments, visible_users
+from lumenpath.plans.common import admins_for, visible_environments, visible_users
 from lumenpath.sources import Platform
 
 KEYS = ["user_id", "tenant_id", "module_id"]
@@ -57,8 +57,8 @@ def module_catalogue(platform: Platform, params: ReportParams) -> DataFrame:
 
 
 def _attempts(platform: Platform, params: ReportParams) -> DataFrame:
-    """Latest attempt with its number, or up to a hundred recent ones."""
-    history = attempt_history(platform.attempts, 100 if params.all_attempts else 1)
+    """Latest attempt with its number, or all of them (``attempts_per_module`` of them at most, where it is given)."""
+    history = attempt_history(platform.attempts, params.attempts_per_module if params.all_attempts else 1)
     state = F.col("status_id")
     opened = state != codes.NOT_STARTED
     return history.select(
@@ -129,7 +129,7 @@ def module_status_facts(
         .withColumn("track_modules", F.count("module_id").over(per_track))
         .withColumn("track_modules_done", F.sum(F.when(F.col("is_done"), 1).otherwise(0)).over(per_track))
     )
-    return where_all(rows, status_filter(F.col("module_status"), params.statuses))
+    return where_all(rows, one_of(F.col("module_status"), params.statuses))
 
 
 def module_status_rows(

@@ -16,7 +16,7 @@ from lumenpath.operators.content import module_roles, real_users
 from lumenpath.operators.latest import first_group, first_per_key
 from lumenpath.operators.status import track_status
 from lumenpath.params import ReportParams
-from lumenpath.plans.common import admins_for, status_filter, visible_environments, visible_users
+from lumenpath.plans.common import admins_for, visible_environments, visible_users
 from lumenpath.sources import Platform
 
 TRACK_KEYS = ["user_id", "tenant_id", "track_id"]
@@ -96,7 +96,7 @@ def track_facts(platform: Platform, params: ReportParams, admins: DataFrame | No
         completion,
         in_window(F.col("expires_at"), params.window("expiration"), params.show_empty_dates),
         one_of(F.col("attempt_type"), params.attempt_types),
-        status_filter(F.col("track_status"), params.statuses),
+        one_of(F.col("track_status"), params.statuses),
     )
 
 

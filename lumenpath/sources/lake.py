@@ -1,7 +1,7 @@
 """The platform tables as the lake stores them, under the names the library uses.
 
-Lake columns follow a naming scheme (``id_``, ``texto_``, ``numero_``, ``flag_``, ``data_``), so
-most names are translated word by word; only what the scheme cannot tell is listed per table.
+Lake columns follow a naming scheme (``id_``, ``texto_``, ``numero_``, ``flag_``, ``data_``); each
+table's columns are listed with the names they get here.
 Types are settled here once: codes are trimmed, flags become booleans, times lose their zone in UTC.
 """
 
@@ -128,7 +128,7 @@ def from_lake(table: str, df: DataFrame) -> DataFrame:
 
 
 def lake_platform(spark: SparkSession, namespace: str, tenant_id: str | None = None) -> Platform:
-    """The platform of a catalog namespace, such as ``prod.silver``."""
+    """The platform of a catalog namespace, such as ``lake.silver``."""
     return Platform(lambda table: from_lake(table, spark.table(f"{namespace}.{LAKE_TABLES[table][0]}")), tenant_id)
 
 

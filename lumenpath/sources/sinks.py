@@ -6,7 +6,7 @@ import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class MissingTable(LookupError):
@@ -16,22 +16,21 @@ class MissingTable(LookupError):
 def write_gold(gold: DataFrame, path: str) -> None:
     """Replaces the gold table, schema included, partitioned by tenant.
 
-    Rows are spread by tenant and user before the write: a tenant of any size is written by many
-    tasks, and a task holds few tenants, so there are few small files.
+    Rows are rebalanced by tenant before the write: a small tenant meets in one task, and adaptive
+    execution splits a large one into tasks of the advisory size.
     """
-    spread = gold.repartition(F.col("tenant_id"), F.pmod(F.xxhash64("user_id"), F.lit(64)))
-    spread.write.mode("overwrite").partitionBy("tenant_id").parquet(path)
+    gold.hint("rebalance", "tenant_id").write.mode("overwrite").partitionBy("tenant_id").parquet(path)
 
 
 def save_gold(gold: DataFrame, table: str) -> None:
     """The same as a catalog table."""
-    spread = gold.repartition(F.col("tenant_id"), F.pmod(F.xxhash64("user_id"), F.lit(64)))
-    spread.write.mode("overwrite").partitionBy("tenant_id").format("parquet").saveAsTable(table)
+    gold.hint("rebalance", "tenant_id").write.mode("overwrite").partitionBy("tenant_id").format("parquet").saveAsTable(table)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """Gold from a folder; tenants stay text whatever their names look like."""
-    return spark.read.option("mergeSchema", "false").parquet(path).withColumn("tenant_id", F.col("tenant_id").cast("string"))
+    fields = [T.StructField("tenant_id", T.StringType()) if f.name == "tenant_id" else f for f in spark.read.parquet(path).schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def open_gold(spark: SparkSession, table: str) -> DataFrame:

@@ -28,6 +28,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+def close(spark: SparkSession) -> None:
+    """Removes everything this application has staged; frames that read it cannot be used any more."""
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Stage:
     """Writes a frame under a name the first time it is asked for, and reads it from then on."""
 

@@ -37,7 +37,32 @@ def test_request_with_padded_key_and_codes():
 
 @given(st.lists(st.integers(min_value=0, max_value=10**9)))
 def test_ids_survive_a_round_trip(ids):
-    assert parse_ids(",".join(f" {i} " for i in ids) + ",x,") == tuple(ids)
+    assert parse_ids(",".join(f" {i} " for i in ids) + ", ,") == tuple(ids)
+
+
+def test_what_is_no_id_raises():
+    for text in ("abc", "--5", "²", "1,x", "1;2", "1.0"):
+        with pytest.raises(ValueError):
+            parse_ids(text)
+    assert parse_ids("-5, +6") == (-5, 6) and parse_ids(" ") == parse_ids(None) == ()
+
+
+def test_requests_of_the_other_reports():
+    now = datetime(2026, 2, 1)
+    rows_ = from_request(
+        {"adminId": "7", "clienteID": "t1", "startDate": "2026-01-01", "endDate": "2026-01-31", "roundLinkDateStartDate": "2026-01-02",
+         "roundLinkDateEndDate": "2026-01-03", "exibirTodasTentativas": "1", "showInactiveRound": "true"}, now, "module_rows")
+    assert rows_.window("any") == (datetime(2026, 1, 1), datetime(2026, 1, 31)) and rows_.window("link") == (datetime(2026, 1, 2), datetime(2026, 1, 3))
+    assert rows_.all_attempts and rows_.attempts_per_module is None and rows_.show_inactive_modules and rows_.role_ids == (1, 2, 3)
+    wide = from_request({"competicaoID": "3", "statusConclusaoCompeticao": "finished", "userStatus": "0,1"}, now, "module_columns")
+    assert (wide.environment_ids, wide.statuses, wide.user_flags, wide.role_ids) == ((3,), ("finished",), (0, 1), (1, 2))
+    track = from_request({"trackExpirationDateStartDate": "2026-01-01", "trackExpirationDateEndDate": "2026-01-02", "tipoDeTentativa": "first"}, now, "track")
+    assert track.window("expiration") == (datetime(2026, 1, 1), datetime(2026, 1, 2)) and track.attempt_types == ("first",)
+    environment = from_request({"lastCompetitionAccessDateStartDate": "2026-01-01", "lastCompetitionAccessDateEndDate": "2026-01-02"}, now, "environment")
+    assert environment.window("last_access") == (datetime(2026, 1, 1), datetime(2026, 1, 2))
+    for report in ("module_rows", "module_columns", "track", "environment"):
+        with pytest.raises(KeyError):
+            from_request({"profileTrackIds": "1"}, now, report)
 
 
 def test_flags():

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import platform_fixture
 from lumenpath.functions import codes
+from lumenpath.functions.predicates import keep_listed
 from lumenpath.operators import access, attributes, audience, content, labels, latest, provenance
 from lumenpath.operators.audience import Criterion
 
@@ -127,6 +128,39 @@ def test_attempt_numbers_against_brute_force(spark, attempts_in, keep):
     assert got == want
 
 
+def test_every_attempt_is_kept_unless_a_limit_is_given(spark):
+    frame = attempts(spark, [(i, 1, 300, "aprovado") for i in range(150)])
+    got = sorted((r.attempt_id, r.attempt_number) for r in latest.attempt_history(frame).collect())
+    assert got == [(i, i + 1) for i in range(150)]
+    assert latest.attempt_history(frame, 100).count() == 100
+
+
+def test_group_filter_chooses_among_the_listed_groups(p):
+    groups = {(r.user_id, r.tenant_id, r.child_group_id) for r in p.group_members.selectExpr("user_id", "tenant_id", "group_id child_group_id").collect()}
+    for wanted in sorted({g for *_, g in groups}):
+        for row in latest.first_group(p, group_ids=(wanted,)).collect():
+            assert wanted in (row.child_group_id, row.parent_group_id) and (row.user_id, row.tenant_id, row.child_group_id) in groups
+    both = {r.user_id for r in latest.first_group(p, group_ids=(10,)).where("tenant_id = 't1'").collect()}
+    assert 1 in both
+
+
+def test_long_lists_are_joined(spark, rows):
+    frame = rows([(1, "a"), (5, "b"), (None, "c")], "user_id bigint, name string")
+    for values in ([1, 7], list(range(1, 5000, 2)) + [1]):
+        assert sorted(r.name for r in keep_listed(frame, "user_id", values).collect()) == (["a"] if len(values) == 2 else ["a", "b"])
+    assert keep_listed(frame, "user_id", ()).count() == 3
+
+
+def test_unknown_roles_match_nothing(rows):
+    labels = codes.DICTIONARIES["role"]
+    gold = rows([("t1", labels["1"]), ("t1", "?")], "tenant_id string, role_label string")
+    from lumenpath.plans.activity import _with_roles
+
+    assert gold.where(_with_roles(gold["role_label"], (9,))).count() == 0
+    assert gold.where(_with_roles(gold["role_label"], (9, 1))).count() == 1
+    assert _with_roles(gold["role_label"], ()) is None
+
+
 def members(p, include, exclude=()):
     return {(r.user_id, r.tenant_id) for r in audience.audience(p, include, exclude).collect()}
 

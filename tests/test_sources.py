@@ -23,6 +23,26 @@ def test_gold_round_trip_prunes_by_tenant(spark, rows, tmp_path):
     assert "PartitionFilters: [isnotnull(tenant_id" in plan
 
 
+def test_tenants_stay_text(spark, rows, tmp_path):
+    gold = rows([(1, "007", "a"), (2, "1e3", "b"), (3, "2020-01-01", None)], "user_id bigint, tenant_id string, note string")
+    path = str(tmp_path / "gold")
+    sinks.write_gold(gold, path)
+    back = sinks.read_gold(spark, path)
+    assert dict(back.dtypes)["tenant_id"] == "string"
+    assert sorted(tuple(r) for r in back.select(gold.columns).collect()) == sorted(map(tuple, [(1, "007", "a"), (2, "1e3", "b"), (3, "2020-01-01", None)]))
+    assert "REBALANCE" in gold.hint("rebalance", "tenant_id")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_staged_tables_go_when_the_application_closes_them(spark, rows):
+    import os
+
+    held = Stage(spark, "test_close").keep("one", lambda: rows([(1,)], "i int"))
+    folder = held.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(folder)
+    application = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    assert folder.startswith(application.removeprefix("file:"))
+
+
 def test_missing_gold_is_a_typed_error(spark):
     with pytest.raises(sinks.MissingTable):
         sinks.open_gold(spark, "no_such_gold")

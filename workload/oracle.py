@@ -162,6 +162,8 @@ BLOCKS: dict[str, str] = {
                status_id in {CLOSED} as is_done
         from {{attempts}} where status_id <> 'cancelado'""",
     "x_first_group": _GROUP_PICK.format(keys="user_id, tenant_id, environment_id", env=", eg.environment_id").replace("{{", "{").replace("}}", "}"),
+    "x_listed_group": _GROUP_PICK.format(keys="user_id, tenant_id, environment_id", env=", eg.environment_id").replace("{{", "{").replace("}}", "}").replace(
+        "pg.is_active) x", "pg.is_active where g.group_id in (2, 3, 101, 104, 106, 108) or pg.group_id in (2, 3, 101, 104, 106, 108)) x"),
     "x_any_group": _GROUP_PICK.format(keys="user_id, tenant_id", env="").replace("{{", "{").replace("}}", "}"),
     "x_all_groups": groups_text(),
     "x_users_any": editable("{any_admins}", "US"),
@@ -622,6 +624,20 @@ def graded(name: str) -> str:
     return f"cast(coalesce(q.{name}, 0) as decimal(10,2))"
 
 
+# What each code of a filter is called.
+_CONVERTED = """
+    ('activity_status', 'awaiting_approval', 'Aguardando Correção'), ('activity_status', 'exempted', 'Dispensado'), ('activity_status', 'expired', 'Expirado'), ('activity_status', 'finished', 'Concluído'), ('activity_status', 'in_progress', 'Em Andamento'), ('activity_status', 'not_released', 'Não Liberado'), ('activity_status', 'not_started', 'Não Iniciado'),
+    ('attempt_type', 'default', 'Padrão'), ('attempt_type', 'recertification', 'Recertificação'),
+    ('environment_status', 'exempted', 'Dispensado'), ('environment_status', 'expired', 'Expirado (Não concluído)'), ('environment_status', 'finished', 'Concluído'), ('environment_status', 'in_progress', 'Em andamento'), ('environment_status', 'not_released', 'Não liberado'), ('environment_status', 'not_started', 'Não iniciado'),
+    ('module_status', 'approved', 'Aprovado'), ('module_status', 'awaiting_approval', 'Aguardando Correção'), ('module_status', 'exempted', 'Dispensado'), ('module_status', 'expired', 'Expirado (Não Realizado)'), ('module_status', 'in_progress', 'Em Andamento'), ('module_status', 'invalid_certification', 'Certificação Inválida'), ('module_status', 'not_released', 'Não Liberado'), ('module_status', 'not_started', 'Não Iniciado'), ('module_status', 'out_of_date', 'Fora do Prazo'), ('module_status', 'reproved', 'Reprovado'), ('module_status', 'valid_certification', 'Certificação Válida'),
+    ('notification_status', 'failed', 'Falha'), ('notification_status', 'sent', 'Enviado'), ('notification_status', 'summary', 'Rascunho'), ('notification_status', 'wating_for_sending', 'Aguardando envio'),
+    ('question_status', 'answered', 'Respondida'), ('question_status', 'pending', 'Pendente'),
+    ('role', '1', 'Obrigatório'), ('role', '2', 'Participa'), ('role', '3', 'Gestor'),
+    ('track_status', 'exempted', 'Dispensado'), ('track_status', 'expired', 'Expirado (Não Concluído)'), ('track_status', 'finished', 'Concluído'), ('track_status', 'in_progress', 'Em Andamento'), ('track_status', 'invalid_certification', 'Certificação Inválida'), ('track_status', 'not_released', 'Não Liberado'), ('track_status', 'not_started', 'Não Iniciado'), ('track_status', 'valid_certification', 'Certificação Válida'),
+    ('user_status', '1', 'Ativo'), ('user_status', '2', 'Inativo')
+"""
+
+
 _CHECKS: dict[str, str] = {
     "status_by_track": """
         select m.tenant_id, m.track_id, a.status_id, count(*) as attempts, count(case when a.is_done then 1 end) as done, count(case when a.is_approved then 1 end) as approved,
@@ -631,7 +647,14 @@ _CHECKS: dict[str, str] = {
     "attempt_history_numbered": """
         select user_id, tenant_id, module_id, attempt_id, attempt_number,
                cast(coalesce(points, 0) + coalesce(challenge_bonus, 0) + coalesce(time_bonus, 0) as decimal(18,2)) as total_score
-        from {x_numbered} where newest <= 100""",
+        from {x_numbered}""",
+    "attempt_history_of_busy_users": """
+        select user_id % 3 as user_id, tenant_id, module_id, attempt_id, row_number() over (partition by user_id % 3, tenant_id, module_id order by attempt_id) as attempt_number
+        from {attempts} where status_id <> 'cancelado'""",
+    "activity_role_filters": """
+        select 'none' as roles, count(*) as n from {x_gold} where environment_active and track_active and module_active and activity_active
+        union all select 'unknown', 0
+        union all select 'one known', count(*) from {x_gold} where environment_active and track_active and module_active and activity_active and role_label = 'Obrigatório'""",
     "first_group": "select * from {x_first_group}",
     "first_group_any_environment": "select * from {x_any_group}",
     "all_groups": "select * from {x_all_groups}",
@@ -801,6 +824,11 @@ _CHECKS: dict[str, str] = {
         join {{x_env12_linked}} l on l.user_id = f.user_id and l.tenant_id = f.tenant_id and l.environment_id = f.environment_id
         left join {{x_first_group}} g on g.user_id = f.user_id and g.tenant_id = f.tenant_id and g.environment_id = f.environment_id
         left join {{x_all_groups}} ag on ag.user_id = f.user_id and ag.tenant_id = f.tenant_id {attributes_of("f")}""",
+    "environment_report_by_group": f"""
+        select f.tenant_id, f.user_id, f.environment_id, g.child_group_id, g.child_group_name, g.parent_group_id, {_ENV_LABEL} as environment_status
+        from {{x_env12}} f join {{users}} u on u.user_id = f.user_id and u.tenant_id = f.tenant_id
+        join {{x_env12_linked}} l on l.user_id = f.user_id and l.tenant_id = f.tenant_id and l.environment_id = f.environment_id
+        join {{x_listed_group}} g on g.user_id = f.user_id and g.tenant_id = f.tenant_id and g.environment_id = f.environment_id""",
     "environment_report_for_audience": f"""
         select f.user_id, f.tenant_id, f.environment_id, {_ENV_LABEL} as environment_status,
                case when f.is_exempt then '' when f.environment_status in ('not_released', 'not_started') then '0.00' else cast(f.score as varchar) end as score,
@@ -823,10 +851,10 @@ _CHECKS: dict[str, str] = {
           where lower(u.full_name) like '%customer#0000%' or lower(u.login) like '%customer#0000%' or lower(u.email) like '%customer#0000%') x
         order by name, tenant_id, user_id limit 40 offset 5""",
     "text_criteria": """
-        select entity_attribute_id, lower(trim(text_value)) = 'code-1' as equal_to, lower(trim(text_value)) like 'code-1%' as starts_with,
+        select entity_attribute_id, attribute_id, lower(trim(text_value)) = 'code-1' as equal_to, lower(trim(text_value)) like 'code-1%' as starts_with,
                lower(trim(text_value)) like '%-2' as ends_with, lower(trim(text_value)) like '%de-3%' as contains,
                text_value is null or trim(text_value) = '' as is_empty
-        from {entity_attributes} where attribute_id = 2""",
+        from {entity_attributes}""",
     "typed_criteria": """
         select entity_attribute_id, coalesce(n = 12, false) as int_equal, coalesce(n between 5 and 50, false) as int_between, coalesce(n > 12, false) as int_above,
                coalesce(n <= 12, false) as int_up_to, coalesce(d < date '2024-01-15', false) as date_before, coalesce(d >= date '2024-01-15', false) as date_from
@@ -834,6 +862,12 @@ _CHECKS: dict[str, str] = {
                      case when regexp_full_match(text_value, '[0-9]{4}-[0-9]{2}-[0-9]{2}') then cast(text_value as date) end as d from {entity_attributes}) x""",
     "search_box": """select user_id, tenant_id, full_name from {users} where lower(full_name) like '%r#00000001%' or lower(login) like '%r#00000001%'
         or lower(email) like '%r#00000001%' or cast(user_id as varchar) like '%r#00000001%'""",
+    "filter_conversion": f"""
+        with known(kind, original, converted) as (values {_CONVERTED}), kinds as (select distinct kind from known),
+        sent as (select * from known union all select kind, 'no such code', 'Desconhecido' from kinds),
+        held as (select kind, status_id as original from kinds, (select distinct status_id from {{attempts}}) s)
+        select kind, original, converted, 'sent' as origin from sent
+        union all select h.kind, h.original, coalesce(s.converted, 'not sent'), 'held' from held h left join sent s on s.kind = h.kind and s.original = h.original""",
     "code_translate": """select status_id, count(*) as n, 'Desconhecido' as not_a_code,
         case when status_id = 'em_andamento' then 'Em Andamento' else 'Concluído' end as label from {attempts} group by status_id""",
     "format_duration": f"select attempt_id, activity_id, {clock('seconds * 37')} as clock, {short('seconds * 37')} as short from {{activity_access}}",

@@ -64,6 +64,13 @@ def attempt_history_numbered(p: Platform) -> DataFrame:
     return latest.attempt_history(p.attempts).select("user_id", "tenant_id", "module_id", "attempt_id", "attempt_number", "total_score")
 
 
+@query
+def attempt_history_of_busy_users(p: Platform) -> DataFrame:
+    """Three users who have all attempts between them: far more than a hundred in one module."""
+    busy = p.attempts.withColumn("user_id", F.col("user_id") % 3)
+    return latest.attempt_history(busy).select("user_id", "tenant_id", "module_id", "attempt_id", "attempt_number")
+
+
 @query
 def first_group(p: Platform) -> DataFrame:
     return latest.first_group(p)
@@ -233,6 +240,17 @@ def activity_report(p: Platform) -> DataFrame:
     return activity.activity_report(p, p.gold, chosen, p.any_admins)
 
 
+@query
+def activity_role_filters(p: Platform) -> DataFrame:
+    """Gold rows of no role, of a role nobody knows, and of that one beside a known one."""
+    frames = [
+        activity.filter_gold(p.gold, params(role_ids=roles)).agg(F.count("*").alias("n"))
+        .select(F.lit(name).alias("roles"), "n")
+        for name, roles in (("none", ()), ("unknown", (9,)), ("one known", (9, 1)))
+    ]
+    return frames[0].union(frames[1]).union(frames[2])
+
+
 @query
 def activity_report_filtered(p: Platform) -> DataFrame:
     chosen = params(
@@ -368,6 +386,13 @@ def environment_report(p: Platform) -> DataFrame:
     return environment.environment_report(p, params(user_flags=(1,), role_ids=(1, 2)), p.any_admins)
 
 
+@query
+def environment_report_by_group(p: Platform) -> DataFrame:
+    """Groups are chosen among those asked for, also for users whose first group is another one."""
+    rows = environment.environment_report(p, params(user_flags=(1,), role_ids=(1, 2), group_ids=(2, 3, 101, 104, 106, 108)), p.any_admins)
+    return rows.select("tenant_id", "user_id", "environment_id", "child_group_id", "child_group_name", "parent_group_id", "environment_status")
+
+
 @query
 def environment_report_for_audience(p: Platform) -> DataFrame:
     members = audience.audience(p, _all("AV", "contains", value="CODE-", attribute_id=2, entity_id=0))
@@ -435,13 +460,13 @@ def audience_page(p: Platform) -> DataFrame:
 @query
 def text_criteria(p: Platform) -> DataFrame:
     value = F.col("text_value")
-    rows = p.entity_attributes.where(F.col("attribute_id") == 2)
+    rows = p.entity_attributes
 
     def test(operation: str, wanted: str):
         return predicates.text_matches(F.lit(operation), F.trim(value), F.lit(wanted)).alias(operation)
 
     return rows.select(
-        "entity_attribute_id", test("equal_to", "CODE-1"), test("starts_with", "Code-1"), test("ends_with", "-2"),
+        "entity_attribute_id", "attribute_id", test("equal_to", "CODE-1"), test("starts_with", "Code-1"), test("ends_with", "-2"),
         test("contains", "DE-3"), test("is_empty", ""),
     )
 
@@ -469,6 +494,22 @@ def search_box(p: Platform) -> DataFrame:
 # ---- scalar functions, filters -----------------------------------------------------------------------------------
 
 
+@query
+def filter_conversion(p: Platform) -> DataFrame:
+    """Every state of an attempt and two more codes through each dictionary."""
+    codes_there = p.attempts.select(F.col("status_id").alias("original")).distinct()
+    frames = []
+    for kind in sorted(codes.DICTIONARIES):
+        converted = labels.convert_filter(p.attempts.sparkSession, ",".join([*sorted(codes.DICTIONARIES[kind]), "no such code"]), kind)
+        seen = codes_there.join(converted.select("original", "converted"), "original", "left")
+        frames.append(converted.select("kind", "original", "converted", F.lit("sent").alias("origin")).union(
+            seen.select(F.lit(kind), "original", F.coalesce("converted", F.lit("not sent")), F.lit("held"))))
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.union(frame)
+    return out
+
+
 @query
 def code_translate(p: Platform) -> DataFrame:
     return p.attempts.groupBy("status_id").agg(F.count("*").alias("n")).select(
