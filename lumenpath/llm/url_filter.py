@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.002, 0.6, 3
+MIN_SUPPORT, MIN_COUNT, MIN_CONFIDENCE, MAX_TOKENS = 0.002, 20, 0.6, 3
 ALLOW, BLOCK = "allow", "block"
 LABEL = "label="
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -58,8 +58,13 @@ def tokens(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> list[tuple]:
-    """Rules (tokens, label, confidence, support) from all rows ``url``, ``label``."""
+def mine(
+    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS, min_count: int = MIN_COUNT
+) -> list[tuple]:
+    """Rules (tokens, label, confidence, support) from all rows ``url``, ``label``.
+
+    A rule is supported by a share of ``min_support`` of all labelled URLs and by ``min_count`` of them.
+    """
     baskets = labelled.where("url is not null and label is not null").select(
         F.concat(tokens(F.col("url")), F.array(F.concat(F.lit(LABEL), "label"))).alias("items")
     )
@@ -67,7 +72,8 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     total = sum(shares.values())
     if not total:
         return []
-    sets = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=0.0).fit(baskets).freqItemsets
+    support = max(min_support, min(1.0, min_count / total))
+    sets = FPGrowth(itemsCol="items", minSupport=support, minConfidence=0.0).fit(baskets).freqItemsets
     sets = sets.withColumn("label", F.get(F.filter("items", lambda x: x.startswith(LABEL)), F.lit(0)))
     sets = sets.withColumn("tokens", F.array_sort(F.filter("items", lambda x: ~x.startswith(LABEL))))
     sets = sets.where(F.size("tokens").between(1, max_tokens)).select("tokens", "label", "freq")
