@@ -20,6 +20,10 @@ def where_all(df: DataFrame, *predicates: Column | None) -> DataFrame:
     return df.where(reduce(and_, used)) if used else df
 
 
+def all_of(predicates: Iterable[Column]) -> Column:
+    return reduce(and_, predicates)
+
+
 def any_of(predicates: Iterable[Column]) -> Column:
     return reduce(or_, predicates)
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenpath.functions import codes
 from lumenpath.functions.exprs import day_second
-from lumenpath.functions.predicates import is_real_user, mentions, text_matches, typed_matches, where_all
+from lumenpath.functions.predicates import LITERAL_VALUES, all_of, any_of, is_real_user, mentions, text_matches, typed_matches, where_all
+from lumenpath.operators.sizes import broadcast_if_small
 from lumenpath.sources import Platform
+from lumenpath.sources.staging import Stage
 
 WHO = ["user_id", "tenant_id"]
 WORD_BITS = 62  # criteria per bigint mask; longer lists use several words
@@ -48,59 +51,59 @@ _KIND_OF_TYPE = {
     codes.GROUP: "group", codes.USER_PROFILE: "userProfile", codes.ADMIN_PROFILE: "adminProfile",
     codes.USER_STATUS: "userStatus", codes.USER: "user",
 }
-_SCHEMA = "tenant_id string, kind string, entity_id bigint, attribute_id bigint, value string, value_2 string"
 
 
-def _frame(platform: Platform, criteria: Sequence[Criterion]) -> DataFrame:
-    rows = [(c.tenant_id, c.kind, c.entity_id, c.attribute_id, c.value, c.value_2) for c in criteria]
-    return platform.users.sparkSession.createDataFrame(rows, _SCHEMA)
+def _only(df: DataFrame, criteria: Sequence[Criterion], column: str) -> DataFrame:
+    """Rows whose column holds an entity that a criterion of their tenant names.
 
+    Criteria are as large as a request, so they become literals that reach the scan; a very long list is joined.
+    """
+    wanted = sorted({(c.tenant_id, c.entity_id) for c in criteria if c.entity_id is not None})
+    if len(wanted) > LITERAL_VALUES:
+        listed = df.sparkSession.createDataFrame(wanted, f"tenant_id string, {column} bigint")
+        return df.join(F.broadcast(listed), [column, "tenant_id"], "left_semi").select(*df.columns)
+    tenants = {tenant: [i for t, i in wanted if t == tenant] for tenant, _ in wanted}
+    return df.where(any_of([(F.col("tenant_id") == t) & F.col(column).isin(ids) for t, ids in tenants.items()] or [F.lit(False)]))
 
-def _wanted(platform: Platform, criteria: Sequence[Criterion], key: str) -> DataFrame:
-    return _frame(platform, criteria).select("tenant_id", F.col("entity_id").alias(key)).distinct()
 
+def _of_tenants(df: DataFrame, criteria: Sequence[Criterion]) -> DataFrame:
+    return df.where(F.col("tenant_id").isin(sorted({c.tenant_id for c in criteria})))
 
-def _by_groups(platform: Platform, environments: DataFrame) -> DataFrame:
-    """``environments`` columns for every member of a group attached to them."""
-    return (
-        platform.environment_groups.select("environment_id", "group_id", "tenant_id")
-        .join(environments, ["environment_id", "tenant_id"])
-        .join(platform.group_members.select("user_id", "group_id", "tenant_id"), ["group_id", "tenant_id"])
-    )
+
+def _by_groups(platform: Platform, environments: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+    """Members of the groups attached to the environments, with ``columns`` of these; groups are folded before members meet them."""
+    keys = ["group_id", "tenant_id"]
+    attached = platform.environment_groups.select("environment_id", *keys).join(environments, ["environment_id", "tenant_id"])
+    groups = broadcast_if_small(attached.select(*keys, *columns).distinct())
+    return platform.group_members.select("user_id", *keys).join(groups, keys, "inner" if columns else "left_semi").select(*WHO, *columns)
 
 
 def in_environment(platform: Platform, criteria: Sequence[Criterion]) -> DataFrame:
-    wanted = _wanted(platform, criteria, "environment_id")
     available = platform.environments.where("is_available").select("environment_id", "tenant_id")
-    return _by_groups(platform, available.join(wanted, ["environment_id", "tenant_id"])).select(*WHO)
+    return _by_groups(platform, _only(available, criteria, "environment_id"))
 
 
 def _absent(key: str) -> Callable[[Platform, Sequence[Criterion]], DataFrame]:
     """No progress row for at least one of the named entities: counted per user, not crossed with users."""
 
     def build(platform: Platform, criteria: Sequence[Criterion]) -> DataFrame:
-        wanted = _wanted(platform, criteria, key)
-        size = wanted.groupBy("tenant_id").agg(F.count("*").alias("_named"))
-        seen = (
-            platform.track_progress.select(*WHO, key).join(wanted, [key, "tenant_id"], "left_semi")
-            .distinct().groupBy(*WHO).agg(F.count("*").alias("_seen"))
-        )
-        users = platform.users.select(*WHO).join(size, "tenant_id")
-        return users.join(seen, WHO, "left").where("coalesce(_seen, 0) < _named").select(*WHO)
+        named = Counter(tenant for tenant, _ in {(c.tenant_id, c.entity_id) for c in criteria})
+        wanted = any_of((F.col("tenant_id") == t) & (F.coalesce("_seen", F.lit(0)) < n) for t, n in named.items())
+        seen = _only(platform.track_progress, criteria, key).select(*WHO, key).distinct().groupBy(*WHO).agg(F.count("*").alias("_seen"))
+        return _of_tenants(platform.users.select(*WHO), criteria).join(seen, WHO, "left").where(wanted).select(*WHO)
 
     return build
 
 
 def without_role(platform: Platform, criteria: Sequence[Criterion]) -> DataFrame:
-    wanted = _frame(platform, criteria).select("tenant_id").distinct()
     playing = platform.roles.where(F.col("role_id").isin(*codes.PLAYING_ROLES)).select(*WHO)
-    return platform.users.select(*WHO).join(wanted, "tenant_id", "left_semi").join(playing, WHO, "left_anti")
+    return _of_tenants(platform.users.select(*WHO), criteria).join(playing, WHO, "left_anti")
 
 
 def _completion(key: str, finished: bool) -> Callable[[Platform, Sequence[Criterion]], DataFrame]:
     def build(platform: Platform, criteria: Sequence[Criterion]) -> DataFrame:
         sums = (
-            platform.track_progress.join(_wanted(platform, criteria, key), [key, "tenant_id"], "left_semi")
+            _only(platform.track_progress, criteria, key)
             .groupBy(*WHO, key)
             .agg(F.sum("total_modules").alias("_all"), F.sum("finished_modules").alias("_done"))
         )
@@ -113,75 +116,75 @@ def _completion(key: str, finished: bool) -> Callable[[Platform, Sequence[Criter
 def in_track(platform: Platform, criteria: Sequence[Criterion]) -> DataFrame:
     """A role on a module, on the track itself or on a module link of it, within an environment of the user's groups."""
     track = ["track_id", "tenant_id"]
-    wanted = platform.tracks.where("is_active").select(*track).join(_wanted(platform, criteria, "track_id"), track)
+    wanted = _only(platform.tracks.where("is_active").select(*track), criteria, "track_id")
     entities = (
         platform.modules.select(F.col("module_id").alias("entity_id"), *track, F.lit(codes.MODULE).alias("entity_type"))
         .unionByName(platform.module_links.select(F.col("link_id").alias("entity_id"), *track, F.lit(codes.MODULE_LINK).alias("entity_type")))
         .unionByName(wanted.select(F.col("track_id").alias("entity_id"), *track, F.lit(codes.TRACK).alias("entity_type")))
-        .join(wanted, track, "left_semi")
     )
+    entities = broadcast_if_small(_only(entities, criteria, "track_id").join(wanted, track, "left_semi"))
     held = (
         platform.roles.where(F.col("role_id").isin(*codes.PLAYING_ROLES))
         .select(*WHO, "entity_id", F.trim("entity_type").alias("entity_type"))
         .join(entities, ["entity_id", "entity_type", "tenant_id"])
         .select(*WHO, "track_id").distinct()
     )
-    offered = platform.environment_tracks.select("environment_id", *track).join(wanted, track, "left_semi")
-    members = _by_groups(platform, offered).select(*WHO, "track_id")
-    return held.join(members, [*WHO, "track_id"], "left_semi").select(*WHO)
+    offered = _only(platform.environment_tracks.select("environment_id", *track), criteria, "track_id").join(wanted, track, "left_semi")
+    return held.join(_by_groups(platform, offered, ["track_id"]), [*WHO, "track_id"], "left_semi").select(*WHO)
 
 
 def in_group(platform: Platform, criteria: Sequence[Criterion]) -> DataFrame:
-    wanted = _wanted(platform, criteria, "group_id")
-    return platform.group_members.join(wanted, ["group_id", "tenant_id"], "left_semi").select(*WHO)
+    return _only(platform.group_members, criteria, "group_id").select(*WHO)
 
 
 def with_role(platform: Platform, criteria: Sequence[Criterion]) -> DataFrame:
-    wanted = _wanted(platform, criteria, "role_id")
-    playing = platform.roles.where(F.col("role_id").isin(*codes.PLAYING_ROLES))
-    return playing.join(wanted, ["role_id", "tenant_id"], "left_semi").select(*WHO)
+    return _only(platform.roles.where(F.col("role_id").isin(*codes.PLAYING_ROLES)), criteria, "role_id").select(*WHO)
 
 
 def with_admin_profile(platform: Platform, criteria: Sequence[Criterion]) -> DataFrame:
-    wanted = _wanted(platform, criteria, "profile_id")
-    return platform.profile_users.join(wanted, ["profile_id", "tenant_id"], "left_semi").select(*WHO)
+    return _only(platform.profile_users, criteria, "profile_id").select(*WHO)
 
 
 def with_status(platform: Platform, criteria: Sequence[Criterion]) -> DataFrame:
-    wanted = _frame(platform, criteria).select("tenant_id", (F.col("entity_id") == 1).alias("is_active")).distinct()
-    return platform.users.join(wanted, ["is_active", "tenant_id"], "left_semi").select(*WHO)
+    wanted = sorted({(c.tenant_id, c.entity_id == 1) for c in criteria if c.entity_id is not None})
+    flags = [(F.col("tenant_id") == t) & (F.col("is_active") == active) for t, active in wanted]
+    return platform.users.where(any_of(flags or [F.lit(False)])).select(*WHO)
 
 
 def named_users(platform: Platform, criteria: Sequence[Criterion]) -> DataFrame:
-    return platform.users.join(_wanted(platform, criteria, "user_id"), WHO, "left_semi").select(*WHO)
+    return _only(platform.users, criteria, "user_id").select(*WHO)
 
 
 def with_attribute(platform: Platform, criteria: Sequence[Criterion]) -> DataFrame:
     """Users for whom some criterion of one attribute holds; options by id, the rest by comparison of the text."""
-    kind_of = platform.attributes.where("is_active").select("attribute_id", "tenant_id", "type_id")
-    wanted = _frame(platform, criteria).join(kind_of, ["attribute_id", "tenant_id"])
-    rows = platform.entity_attributes.where(F.trim("entity_type") == codes.USER).select(
-        F.col("entity_id").alias("user_id"), "tenant_id", "attribute_id", "value_id", "text_value"
+    c, attribute = F.col, criteria[0].attribute_id
+    kind_of = _of_tenants(platform.attributes.where(c("is_active") & (c("attribute_id") == attribute)), criteria).select("tenant_id", "type_id")
+    kind_of = broadcast_if_small(kind_of)
+    rows = platform.entity_attributes.where((F.trim("entity_type") == codes.USER) & (c("attribute_id") == attribute)).select(
+        c("entity_id").alias("user_id"), "tenant_id", "value_id", "text_value"
     )
-    c = F.col
-    option = c("type_id").isin(SELECT, MULTIPLE) & (c("entity_id") > 0) & (c("value_id") == c("entity_id"))
-    operands = (c("kind"), c("text_value"), c("value"))
-    plain = F.coalesce("entity_id", F.lit(0)) == 0
-    text = (c("type_id") == TEXT) & plain & (c("kind") != "is_empty") & text_matches(*operands)
-    number = (c("type_id") == INTEGER) & plain & typed_matches(*operands, c("value_2"), "int")
-    date = (c("type_id") == DATE) & plain & typed_matches(*operands, c("value_2"), "date")
-    met = rows.join(wanted, ["attribute_id", "tenant_id"]).where(option | text | number | date).select(*WHO)
-
-    if any(criterion.kind == "is_empty" for criterion in criteria):
+    rows = _of_tenants(rows, criteria).join(kind_of, "tenant_id")
+
+    def holds(one: Criterion) -> Column:
+        low, high = F.lit(one.value).cast("string"), F.lit(one.value_2).cast("string")
+        operation = F.lit(one.kind)
+        number = (c("type_id") == INTEGER) & typed_matches(operation, c("text_value"), low, high, "int")
+        date = (c("type_id") == DATE) & typed_matches(operation, c("text_value"), low, high, "date")
+        text = (c("type_id") == TEXT) & text_matches(operation, c("text_value"), low) if one.kind != "is_empty" else F.lit(False)
+        return (c("tenant_id") == one.tenant_id) & F.coalesce(number | date | text, F.lit(False))
+
+    options = _only(rows.where(c("type_id").isin(SELECT, MULTIPLE)), [x for x in criteria if (x.entity_id or 0) > 0], "value_id").select(*WHO)
+    compared = [holds(x) for x in criteria if not x.entity_id]
+    met = options.unionByName(rows.where(any_of(compared)).select(*WHO)) if compared else options
+
+    blank_for = [x for x in criteria if x.kind == "is_empty" and not x.entity_id]
+    if blank_for:
         # Empty means a blank value or no row at all: everybody but those whose rows all hold a value.
-        asked = wanted.where((c("type_id") == TEXT) & plain & (c("kind") == "is_empty")).select("attribute_id", "tenant_id").distinct()
         blank = c("text_value").isNull() | (c("text_value") == "")
-        filled = (
-            rows.join(asked, ["attribute_id", "tenant_id"], "left_semi").groupBy(*WHO)
-            .agg(F.count_if(blank).alias("_blank")).where("_blank = 0").select(*WHO)
-        )
-        empty = platform.users.select(*WHO).join(asked.select("tenant_id"), "tenant_id", "left_semi").join(filled, WHO, "left_anti")
-        met = met.unionByName(empty)
+        texts = _of_tenants(rows.where(c("type_id") == TEXT), blank_for)
+        filled = texts.groupBy(*WHO).agg(F.count_if(blank).alias("_blank")).where("_blank = 0").select(*WHO)
+        asked = _of_tenants(platform.users.select(*WHO), blank_for).join(kind_of.where(c("type_id") == TEXT), "tenant_id", "left_semi")
+        met = met.unionByName(asked.join(filled, WHO, "left_anti"))
     return met
 
 
@@ -212,13 +215,11 @@ def _grouped(criteria: Sequence[Criterion]) -> dict[str, list[Criterion]]:
 
 
 def matches(platform: Platform, criteria: Sequence[Criterion]) -> list[tuple[str, DataFrame]]:
-    """Per criterion key, the real users who meet it; active ones only, except for the status criterion."""
-    everyone = platform.users.where(is_real_user())
+    """Per criterion key, the users who meet it, whatever their state; a user may come more than once."""
     found = []
     for key, rows in _grouped(criteria).items():
         build = with_attribute if rows[0].entity_type == codes.ATTRIBUTE_VALUE else BUILDERS[key]
-        allowed = everyone if key == "userStatus" else everyone.where("is_active")
-        found.append((key, build(platform, rows).join(allowed.select(*WHO), WHO, "left_semi")))
+        found.append((key, build(platform, rows)))
     return found
 
 
@@ -227,41 +228,46 @@ def required_criteria(criteria: Sequence[Criterion]) -> dict[str, int]:
     return {t: len({c.key for c in criteria if c.tenant_id == t}) for t in {c.tenant_id for c in criteria}}
 
 
+STATUS = "userStatus"
+
+
 def audience(platform: Platform, include: Sequence[Criterion], exclude: Sequence[Criterion] = ()) -> DataFrame:
     """``(user_id, tenant_id)`` of the audience.  No criteria, no audience.
 
     A user meets all criteria when the bits of the met ones cover the tenant's mask.  ``bit_or`` is
-    combined on the map side, so one shuffle replaces a distinct count.
+    combined on the map side, so one shuffle replaces a distinct count.  Inactive users can meet the
+    status criterion only, and be excepted by it only.
     """
     found = matches(platform, [c for c in include if c.kind != "user"])
-    spark = platform.users.sparkSession
     if not found:
         return platform.users.select(*WHO).where(F.lit(False))
-    slots = {key: place for place, (key, _) in enumerate(found)}
+    slots = {key: divmod(place, WORD_BITS) for place, (key, _) in enumerate(found)}
     union = None
     for key, users in found:
-        marked = users.withColumn("word", F.lit(slots[key] // WORD_BITS)).withColumn("bits", F.lit(1 << slots[key] % WORD_BITS).cast("bigint"))
+        word, bit = slots[key]
+        marked = users.select(*WHO, F.lit(word).alias("word"), F.lit(1 << bit).cast("bigint").alias("bits"))
         union = marked if union is None else union.unionByName(marked)
-    needed: dict[tuple[str, int], int] = {}
-    for criterion in include:
-        if criterion.kind != "user":
-            place = slots[criterion.key]
-            word = (criterion.tenant_id, place // WORD_BITS)
-            needed[word] = needed.get(word, 0) | 1 << place % WORD_BITS
-    masks = spark.createDataFrame([(t, w, m) for (t, w), m in needed.items()], "tenant_id string, word int, mask bigint")
-    words = masks.groupBy("tenant_id").agg(F.count("*").alias("words"))
-    covered = (
-        union.groupBy(*WHO, "word").agg(F.bit_or("bits").alias("bits"))
-        .join(masks, ["tenant_id", "word"])
-        .where(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"))
-    )
-    if len(found) <= WORD_BITS:
-        qualified = covered.select(*WHO)
-    else:
-        qualified = covered.groupBy(*WHO).agg(F.count("*").alias("met")).join(words, "tenant_id").where("met = words").select(*WHO)
-    for _, users in matches(platform, exclude):
-        qualified = qualified.join(users, WHO, "left_anti")
-    return qualified
+    words = range(1 + max(word for word, _ in slots.values()))
+    met = union.groupBy(*WHO).agg(*[F.bit_or(F.when(F.col("word") == w, F.col("bits"))).alias(f"bits{w}") for w in words])
+    people = platform.users.where(is_real_user()).select(*WHO, "is_active")
+    met = _of_tenants(met, include).join(people, WHO)
+
+    def covers(tenant: str) -> Column:
+        masks = {w: 0 for w in words}
+        for key in {c.key for c in include if c.tenant_id == tenant and c.kind != "user"}:
+            masks[slots[key][0]] |= 1 << slots[key][1]
+        status = {slots[STATUS][0]: 1 << slots[STATUS][1]} if STATUS in slots else {}
+        whole = [F.col(f"bits{w}").bitwiseAND(F.lit(mask).cast("bigint")) == mask for w, mask in masks.items() if mask]
+        only_status = all(mask & ~status.get(w, 0) == 0 for w, mask in masks.items())
+        return all_of([F.col("tenant_id") == tenant, *whole] + ([] if only_status else [F.col("is_active")]))
+
+    tenants = sorted({c.tenant_id for c in include if c.kind != "user"})
+    qualified = met.where(any_of(covers(t) for t in tenants)).select(*WHO, "is_active")
+    for key, users in matches(platform, exclude):
+        excepted = users.select(F.col("user_id").alias("_user"), F.col("tenant_id").alias("_tenant"))
+        same = (F.col("user_id") == F.col("_user")) & (F.col("tenant_id") == F.col("_tenant"))
+        qualified = qualified.join(excepted, same if key == STATUS else same & F.col("is_active"), "left_anti")
+    return qualified.select(*WHO)
 
 
 def audience_users(
@@ -282,9 +288,10 @@ def audience_users(
     )
     members = users.join(audience(platform, include, exclude), WHO, "left_semi")
     members = where_all(members, mentions([F.col(c) for c in ("name", "login", "email", "user_id")], search))
-    total = members.agg(F.count("*")).scalar()
     if skip and take is None:
         raise ValueError("skip needs take: an open-ended page would pass through one task")
+    members = Stage(platform.users.sparkSession, "audience").keep("members", lambda found=members: found)
+    total = members.agg(F.count("*")).scalar()
     page = members.orderBy("name", "tenant_id", "user_id")
     if take is not None:
         page = page.offset(skip).limit(take)

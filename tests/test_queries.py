@@ -48,6 +48,18 @@ def test_latest_attempt_is_cut_before_the_shuffle(spark):
     assert "PushedFilters: [IsNotNull(status_id), Not(EqualTo(status_id,cancelado))]" in text
 
 
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith("audience_") and n not in ("audience_page", "audience_all_criteria")])
+def test_criteria_reach_the_scans_as_literals(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "ExistingRDD" not in text and "LocalTableScan" not in text
+    for hot in ("tenant_id", "is_active", "group_id", "attribute_id"):  # none of these alone, nor with the tenant, is a shuffle key
+        for line in text.splitlines():
+            if "Exchange hashpartitioning(" in line:
+                keys = {k.split("#")[0].strip() for k in line.split("hashpartitioning(")[1].split("), ")[0].split(",")} - {"tenant_id"}
+                keys = {k for k in keys if not k.isdigit()}
+                assert keys - {hot} or not keys <= {hot}, line
+
+
 def test_attribute_pivot_groups_narrow_rows(spark):
     text = plan(QUERIES["attributes_pivot"](spark, SF_DIR))
     assert "full_name" not in text and "statement" not in text
