@@ -37,7 +37,7 @@ END, OPEN = np.uint64(0x656E64), np.uint64(0x6F70656E)  # tokens no word hashes
 LEAST = (1, 1, 2)  # least count of an n-gram of 1, 2, 3 words in the filter
 WEIGHT = (0.1, 0.1)  # a of bigrams and trigrams
 BITS_PER_ENTRY, PROBES = 10, 4
-ROUND_BYTES = 128 << 20
+ROUND_BYTES = 96 << 20
 FREQUENT = 1 << 19
 SHARD_ENTRIES = 1 << 20
 FLUSH = 3_000_000  # n-grams that a task holds before it writes them out
@@ -123,6 +123,7 @@ class Filter:
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """The highest level up to which each n-gram is found; 0 if it is not, or its part is not here."""
+        hashes, again = np.unique(hashes, return_inverse=True)  # each once, and part by part
         bits = np.frombuffer(self.bits, np.uint8)
         shard, ids = self.split(hashes, self.shards)
         found = np.zeros(len(hashes), np.uint8)
@@ -130,14 +131,14 @@ class Filter:
         level = 0
         while len(still):
             level += 1
-            begin, sizes = self.opens[shard[still]], self.sizes[shard[still]]
-            there = np.ones(len(still), bool)
+            begin, sizes, probed = self.opens[shard[still]], self.sizes[shard[still]], np.arange(len(still))
             for place in self.places(ids[still], level, sizes):
-                place = begin + place
-                there &= (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
-            still = still[there]
+                place = begin[probed] + place[probed]
+                there = (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
+                probed = probed[there > 0]
+            still = still[probed]
             found[still] = level
-        return found
+        return found[again]
 
 
 _CHUNK = "shard int, gram int, rows int, keys binary, counts binary"
@@ -240,8 +241,8 @@ class Model:
         self.frequent = keys[order], (often.column("seen").to_numpy()[order] if often is not None else np.zeros(0, np.int64))
         self.rare = words.where(size < lowest) if lowest is not None else words
 
-    def rounds(self, most: int = ROUND_BYTES) -> Iterator[Filter]:
-        """The filter in pieces of at most ``most`` bytes (one part at least)."""
+    def rounds(self, most: int = ROUND_BYTES) -> Iterator[tuple[Filter, bool]]:
+        """The filter in pieces of at most ``most`` bytes (one part at least), and whether it is the last one."""
         sizes = {r["shard"]: r["total"] for r in self.parts.where("kind = 2").select("shard", "total").collect()}
         groups: list[list[int]] = [[]]
         held = 0
@@ -257,28 +258,7 @@ class Model:
                 rows = self.parts.where(f"kind = 2 and shard between {group[0]} and {group[-1]}").select("shard", "keys")
                 for row in rows.toLocalIterator():
                     piece.add(row["shard"], row["keys"])
-            yield piece
-
-
-def _probed(docs: DataFrame, piece: Filter, first: bool) -> DataFrame:
-    """The documents with the levels of the n-grams that end at each of their tokens, order by order, as far as known."""
-    shared = docs.sparkSession.sparkContext.broadcast((piece.shards, bytes(piece.bits), piece.opens, piece.sizes))
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Filter(*shared.value)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                tokens, opens, real = token_stream(Words(part.column("text")))
-                found = np.stack([held.levels(h) for h in ngram_hashes(tokens, real)])
-                ends = opens - 2 * np.arange(len(opens))
-                levels = [np.ascontiguousarray(found[:, a:b]) for a, b in zip(ends[:-1], ends[1:])]
-                if not first:
-                    levels = [np.maximum(x, np.frombuffer(old, np.uint8).reshape(3, -1)) for x, old in zip(levels, part.column("levels").to_pylist())]
-                columns = [part.column(c) for c in kept] + [pa.array([x.tobytes() for x in levels], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*kept, "levels"])
-
-    kept = ["uid", "doc_id", "text"]
-    return docs.mapInArrow(probe, "uid bigint, doc_id bigint, text string, levels binary")
+            yield piece, group is groups[-1]
 
 
 def _log_probabilities(levels: np.ndarray, model: tuple[int, int, int]) -> float:
@@ -293,45 +273,61 @@ def _log_probabilities(levels: np.ndarray, model: tuple[int, int, int]) -> float
     return float(np.log10(p).sum())
 
 
+_PROBED = "uid bigint, doc_id bigint, text string, levels binary"
 _SCORED = "uid bigint, doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double, words array<bigint>, times array<int>"
 
 
-def _scored(docs: DataFrame, model: Model) -> DataFrame:
-    """Scores, the base score of frequent words, and the other words with how often they occur."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.frequent, (model.texts, model.tokens, model.distinct)))
+def _visit(docs: DataFrame, piece: Filter, model: Model, first: bool, last: bool) -> DataFrame:
+    """One visit of the documents, with the parts of one round.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (keys, seen), sizes = shared.value
-        whole = sizes[1] + sizes[2] + 1
+    It gives the levels of the n-grams that end at each token, order by order, as far as they are known; the last visit
+    gives scores, the base score of frequent words, and the other words with how often they occur.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((piece.shards, bytes(piece.bits), piece.opens, piece.sizes))
+    counts = docs.sparkSession.sparkContext.broadcast((model.frequent, (model.texts, model.tokens, model.distinct))) if last else None
+
+    def rare_words(words: np.ndarray, owner: np.ndarray, n: int) -> list[pa.Array]:
+        order = np.lexsort((words, owner))
+        words, owner = words[order], owner[order]
+        edges = np.flatnonzero(np.append(True, (words[1:] != words[:-1]) | (owner[1:] != owner[:-1]))) if len(order) else order
+        times = np.diff(np.append(edges, len(order))).astype(np.int32)
+        lists = pa.array(np.searchsorted(owner[edges], np.arange(n + 1)).astype(np.int32))
+        return [pa.ListArray.from_arrays(lists, pa.array(words[edges].view(np.int64))), pa.ListArray.from_arrays(lists, pa.array(times))]
+
+    def scored(part: pa.RecordBatch, words: np.ndarray, ends: np.ndarray, levels: list[np.ndarray]) -> list[pa.Array]:
+        (keys, seen), sizes = counts.value
+        n, whole = part.num_rows, sizes[1] + sizes[2] + 1
+        owner = np.repeat(np.arange(n), np.diff(ends))
+        known, base = np.zeros(len(words), bool), np.zeros(n)
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
+            known = keys[at] == words
+            base = np.bincount(owner[known], np.log10((seen[at[known]] + 1) / whole), n)
+        return [
+            pa.array(np.diff(ends)), pa.array(np.bincount(owner[known], minlength=n)), pa.array(base),
+            pa.array([_log_probabilities(x, sizes) for x in levels], pa.float64()), *rare_words(words[~known], owner[~known], n),
+        ]
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Filter(*shared.value)
         for batch in batches:
             for part in slices(batch, "text"):
                 tokens, opens, real = token_stream(Words(part.column("text")))
-                words = ngram_hashes(tokens, real)[0]
+                grams = ngram_hashes(tokens, real)
+                found = np.stack([held.levels(h) for h in grams])
                 ends = opens - 2 * np.arange(len(opens))
-                owner = np.repeat(np.arange(part.num_rows), np.diff(ends))
-                known = np.zeros(len(words), bool)
-                base = np.zeros(part.num_rows)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
-                    known = keys[at] == words
-                    base = np.bincount(owner[known], np.log10((seen[at[known]] + 1) / whole), part.num_rows)
-                rare = np.lexsort((words[~known], owner[~known]))
-                rare_words, rare_owner = words[~known][rare], owner[~known][rare]
-                edges = np.flatnonzero(np.append(True, (rare_words[1:] != rare_words[:-1]) | (rare_owner[1:] != rare_owner[:-1]))) if len(rare) else rare
-                times = np.diff(np.append(edges, len(rare)))
-                lists = np.searchsorted(rare_owner[edges], np.arange(part.num_rows + 1)).astype(np.int32)
-                scores = [
-                    _log_probabilities(np.frombuffer(x, np.uint8).reshape(3, -1), sizes) for x in part.column("levels").to_pylist()
-                ]
-                yield pa.RecordBatch.from_arrays([
-                    part.column("uid"), part.column("doc_id"), pa.array(np.diff(ends)), pa.array(np.bincount(owner[known], minlength=part.num_rows)),
-                    pa.array(base), pa.array(scores, pa.float64()),
-                    pa.ListArray.from_arrays(pa.array(lists), pa.array(rare_words[edges].view(np.int64))),
-                    pa.ListArray.from_arrays(pa.array(lists), pa.array(times.astype(np.int32))),
-                ], names=names)
+                levels = [found[:, a:b] for a, b in zip(ends[:-1], ends[1:])]
+                if not first:
+                    levels = [np.maximum(x, np.frombuffer(old, np.uint8).reshape(3, -1)) for x, old in zip(levels, part.column("levels").to_pylist())]
+                if last:
+                    columns = [part.column("uid"), part.column("doc_id"), *scored(part, grams[0], ends, levels)]
+                else:
+                    columns = [part.column(c) for c in ("uid", "doc_id", "text")] + [pa.array([x.tobytes() for x in levels], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    names = [x.split()[0] for x in _SCORED.split(", ")]
-    return docs.mapInArrow(run, _SCORED)
+    schema = _SCORED if last else _PROBED
+    names = [x.split()[0] for x in schema.split(", ")]
+    return docs.mapInArrow(visit, schema)
 
 
 def score(docs: DataFrame, training: DataFrame, round_bytes: int = ROUND_BYTES, frequent: int = FREQUENT, shard_entries: int = SHARD_ENTRIES) -> DataFrame:
@@ -342,15 +338,9 @@ def score(docs: DataFrame, training: DataFrame, round_bytes: int = ROUND_BYTES,
     stage = Stage(docs.sparkSession, "language_model")
     model = Model(training, stage, shard_entries, frequent)
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    pieces = model.rounds(round_bytes)
-    piece, turn = next(pieces), 0
-    while True:
-        rows = _probed(rows, piece, first=turn == 0)
-        piece, turn = next(pieces, None), turn + 1
-        if piece is None:
-            break
-        rows = stage.keep(f"round{turn}", lambda frame=rows: frame)
-    scored = stage.keep("scored", lambda: _scored(rows, model))
+    for turn, (piece, last) in enumerate(model.rounds(round_bytes)):
+        rows = stage.keep(f"round{turn}", lambda visited=_visit(rows, piece, model, turn == 0, last): visited)
+    scored = rows
     rare = scored.select("uid", F.explode(F.arrays_zip("words", "times")).alias("x")).select("uid", "x.words", "x.times")
     seen = F.coalesce("seen", F.lit(0))
     rest = rare.join(model.rare, rare["words"] == model.rare["word"], "left").groupBy("uid").agg(

@@ -78,7 +78,8 @@ class Network:
         chunks, first = self._chunks(*_layout(data, ends))
         mean = np.add.reduceat(chunks, first[:-1], axis=0) / np.diff(first)[:, None]
         most = np.maximum.reduceat(chunks, first[:-1], axis=0)
-        return 1 / (1 + np.exp(-(np.concatenate([mean, most], axis=1) @ self.out[:-1] + self.out[-1]).astype(np.float64)))
+        sums = (np.concatenate([mean, most], axis=1).astype(np.float64) * self.out[:-1]).sum(axis=1)  # by row: the same in any batch
+        return 1 / (1 + np.exp(-(sums + self.out[-1])))
 
 
 def train(texts: list[bytes], labels: list[int], seed: int = 7) -> Network:
@@ -148,7 +149,7 @@ def _pieces(text: str | None) -> bytes:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
-    """``docs``: ``doc_id``, ``text``; ``labels``: ``doc_id``, ``label`` (0 or 1); equal ids take the larger label."""
+    """``docs``: ``doc_id``, ``text``; ``labels``: ``doc_id``, ``label`` (0 or 1); equal ids take the larger label and the smaller text."""
     known = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
@@ -158,8 +159,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(data, pa.binary())], names=["doc_id", "label", "data"])
 
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
-    rows = chosen.select("doc_id", "label", "text").mapInArrow(cut, "doc_id bigint, label int, data binary").collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["data"]))[:sample]
+    pieces = chosen.select("doc_id", "label", "text").mapInArrow(cut, "doc_id bigint, label int, data binary")
+    rows = pieces.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("data").alias("data")).collect()
+    rows.sort(key=lambda r: r["doc_id"])
     return train([bytes(r["data"]) for r in rows], [r["label"] for r in rows])
 
 
