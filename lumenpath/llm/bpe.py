@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from lumenpath.llm.words import slices
 
 #: Unicode white space, as a character class.
-SPACE = "\t-\r \x85\xa0  -     　"
-REMEMBERED = 400_000  # cuts, and as many matches, in each worker process
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+REMEMBERED = 300_000  # cuts, and as many matches, of each generation in each worker process
 SHORT = 48  # characters of a cut that is remembered
 
 
@@ -80,69 +80,137 @@ class Encoder:
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.cut = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
+        self.long_space = re.compile(f"[{SPACE}]{{2}}").search
         self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        self.bits = max(ranks.values(), default=0).bit_length()
+        self.bytes = [ranks.get(bytes([k])) for k in range(256)]
+        #: For each two tokens that make a third its rank, which is also its id.
+        self.pairs = {
+            ranks[token[:k]] << self.bits | ranks[token[k:]]: rank
+            for token, rank in ranks.items() for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks
+        }
         self.cuts: dict[str, bytes] = _Memory(self._encode_cut, SHORT)
+        self.spaced: dict[str, bytes] = _Memory(lambda cut: self._encode_cut(" " + cut), SHORT)  # by what follows the space
         self.matches: dict[str, bytes] = _Memory(self._encode_match, SHORT)
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.cuts.__getitem__, self.cut(text))) if text else b""
+        if not text:
+            return b""
+        if self.long_space(text):
+            return b"".join(map(self.cuts.__getitem__, self.cut(text)))
+        # No two white spaces side by side: a line end is a match, and each space begins one.
+        lines = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            lines.append((self.cuts[first] if first else b"") + b"".join(map(self.spaced.__getitem__, rest)))
+        return lines[0] if len(lines) == 1 else self.cuts["\n"].join(lines)
 
     def _encode_cut(self, cut: str) -> bytes:
+        if cut.isalpha() or (cut[:1] == " " and cut[1:].isalpha()):
+            return self.matches[cut]
         return b"".join(map(self.matches.__getitem__, self.split(cut)))
 
     def _encode_match(self, match: str) -> bytes:
-        return np.array(self.merge(match.encode()), "<u4").tobytes()
+        return array("I", self.merge(match.encode())).tobytes()
 
     def merge(self, piece: bytes) -> list[int]:
-        ranks = self.ranks
-        if piece in ranks:
-            return [ranks[piece]]
-        n, queue = len(piece), self.queue
+        """Ids of one match.  The steps of the queue's ``push`` and ``pop`` are written out here; calls would double the time."""
+        whole = self.ranks.get(piece)
+        if whole is not None:
+            return [whole]
+        get, bits, words, buckets = self.pairs.get, self.bits, self.queue.words, self.queue.buckets
+        ids = list(map(self.bytes.__getitem__, piece))
+        n, summary = len(ids), 0
         after, before = list(range(1, n + 2)), list(range(-1, n))
-        pair: list[int | None] = [ranks.get(piece[i : i + 2]) for i in range(n - 1)]
+        pair = [get(a << bits | b) for a, b in zip(ids, ids[1:])]
         pair.append(None)
         for i, rank in enumerate(pair):
-            if rank is not None:
-                queue.push(rank, i)
-        while queue.summary:
-            rank, i = queue.pop()
-            if pair[i] != rank:
+            if rank is None:
                 continue
+            if rank in buckets:
+                buckets[rank].append(i)  # in order, so still a heap
+            else:
+                buckets[rank] = [i]
+                words[rank >> 8] |= 1 << (rank & 255)
+                summary |= 1 << (rank >> 8)
+        while summary:
+            high = (summary & -summary).bit_length() - 1
+            word = words[high]
+            rank = high << 8 | ((word & -word).bit_length() - 1)
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                word &= word - 1
+                words[high] = word
+                if not word:
+                    summary &= summary - 1
+            if pair[i] != rank:
+                continue  # stale
             gone = after[i]
-            follows = after[gone]
-            after[i] = follows
-            pair[gone] = None
+            follows = after[i] = after[gone]
+            ids[i], ids[gone], pair[gone] = rank, None, None
             if follows < n:
                 before[follows] = i
-                new = pair[i] = ranks.get(piece[i : after[follows]])
+                new = pair[i] = get(rank << bits | ids[follows])
                 if new is not None:
-                    queue.push(new, i)
+                    if new in buckets:
+                        heappush(buckets[new], i)
+                    else:
+                        buckets[new] = [i]
+                        words[new >> 8] |= 1 << (new & 255)
+                        summary |= 1 << (new >> 8)
             else:
                 pair[i] = None
-            left = before[i]
-            if left >= 0:
-                new = pair[left] = ranks.get(piece[left:follows])
+            i = before[i]
+            if i >= 0:
+                new = pair[i] = get(ids[i] << bits | rank)
                 if new is not None:
-                    queue.push(new, left)
-        ids, at = [], 0
-        while at < n:
-            ids.append(ranks[piece[at : after[at]]])
-            at = after[at]
-        return ids
+                    if new in buckets:
+                        heappush(buckets[new], i)
+                    else:
+                        buckets[new] = [i]
+                        words[new >> 8] |= 1 << (new & 255)
+                        summary |= 1 << (new >> 8)
+        return [i for i in ids if i is not None]
+
+
+class Decoder:
+    """The bytes of all tokens, one after the other, and where each token's lie."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        size = max(ranks.values(), default=-1) + 1
+        tokens = [b""] * size
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.length = np.array([len(t) for t in tokens], np.int64)
+        self.begin = np.append(0, np.cumsum(self.length))[:-1]
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode(self, ids: bytes) -> bytes:
+        numbers = np.frombuffer(ids, "<u4")
+        length = self.length[numbers]
+        ends = np.cumsum(length)
+        return self.data[np.repeat(self.begin[numbers] - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
 
 
 class _Memory(dict):
-    """Answers for short keys; emptied when it is full."""
+    """Answers for short keys, in two generations: when the young one is full it becomes the old one."""
 
     def __init__(self, answer, longest: int):
         super().__init__()
-        self.answer, self.longest = answer, longest
+        self.answer, self.longest, self.old = answer, longest, {}
 
     def __missing__(self, key: str) -> bytes:
-        found = self.answer(key)
+        found = self.old.get(key)
+        if found is None:
+            found = self.answer(key)
         if len(key) <= self.longest:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
             self[key] = found
         return found
@@ -190,11 +258,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = _of_this_process("decoder_" + name, lambda: {rank: piece for piece, rank in ranks.value.items()}).__getitem__
+        decoder = _of_this_process("decoder_" + name, lambda: Decoder(ranks.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [b"".join(map(token, array("I", ids))) if ids else b"" for ids in part.column("ids").to_pylist()]
+                texts = [decoder.decode(ids) if ids else b"" for ids in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=schema.fieldNames())
 
     return encoded.mapInArrow(run, schema)
