@@ -72,6 +72,7 @@ DICTIONARIES: dict[str, dict[str, str]] = {
 }
 # A module that is finished without a grade has a label but no filter code.
 MODULE_STATUS_LABELS = {**DICTIONARIES["module_status"], "finished": "Concluido"}
+# Labels of the wide report, of users, of answers to yes or no, of a link's origin, and of the time of completion.
 COLUMN_STATUS_LABELS = {
     "exempted": "Disp/Inat", "awaiting_approval": "Aguardando Correção", "approved": "Aprovado",
     "reproved": "Reprovado", "finished": "Concluido", "not_started": "Não Iniciado",
@@ -80,6 +81,7 @@ COLUMN_STATUS_LABELS = {
 ACTIVE_LABEL, INACTIVE_LABEL = "Ativo", "Inativo"
 YES, NO = "Sim", "Não"
 NOT_TAKING_PART = "Não Participa"
+LATE_LABEL, IN_TIME_LABEL = "Fora do Prazo", "Dentro do Prazo"
 ORIGIN_LABELS = {"1": "Manual", "2": "Público Alvo", "3": "API", "4": "Importação de Dados"}
 
 

@@ -78,14 +78,16 @@ def _module_results(platform: Platform, plan_modules: DataFrame) -> DataFrame:
     )
 
 
-def _summarise(results: DataFrame, started, params: ReportParams) -> DataFrame:
-    """Counts, score, time and dates per track.
+def _summarise(results: DataFrame, params: ReportParams) -> DataFrame:
+    """Counts, score, time and dates per track, own and linked modules apart.
 
+    A linked module starts when the link was made.
     Modules with the same workload and the same last update form one summary row, whose workload
     counts once; this is the legacy definition of the workload of an environment.
     """
     zero = F.lit(0).cast("decimal(18,2)")
-    return results.groupBy(*PLAN, "attempt_updated_at", "summed_workload").agg(
+    started = F.when(F.col("is_linked"), F.col("link_made_at")).otherwise(F.col("attempted_at"))
+    return results.groupBy(*PLAN, "is_linked", "attempt_updated_at", "summed_workload").agg(
         F.min(started).alias("started_at"),
         F.max("attempt_updated_at").alias("completed_at"),
         F.count("module_id").alias("modules"),
@@ -107,17 +109,16 @@ def track_summary(platform: Platform, plan: DataFrame, params: ReportParams) ->
         "module_id", "track_id", "tenant_id", "workload_minutes", "allows_time_bonus", "starts_at",
         F.coalesce("workload_minutes", F.lit(0)).alias("summed_workload"),
     )
-    live = _live_tracks(platform)
-    planned = plan.join(live, ["track_id", "tenant_id"], "left_semi")
-    direct = planned.join(shown, ["track_id", "tenant_id"])
+    made_at = platform.module_links.schema["created_at"].dataType
+    own = shown.select("*", F.lit(None).cast(made_at).alias("link_made_at"), F.lit(False).alias("is_linked"))
     links = platform.module_links.where("is_active and kind = 'round'").select(
         "track_id", "tenant_id", F.col("target_module_id").alias("module_id"), F.col("created_at").alias("link_made_at")
     )
-    targets = links.join(shown.drop("track_id"), ["module_id", "tenant_id"])
-    linked = planned.join(targets, ["track_id", "tenant_id"])
-    own = _summarise(_module_results(platform, direct), F.col("attempted_at"), params)
-    far = _summarise(_module_results(platform, linked), F.col("link_made_at"), params)
-    return own.unionByName(far).distinct()
+    far = links.join(shown.drop("track_id"), ["module_id", "tenant_id"]).withColumn("is_linked", F.lit(True))
+    # Both kinds are put together in the catalogue, so plan and attempts meet them in one pass.
+    modules = own.unionByName(far).join(_live_tracks(platform), ["track_id", "tenant_id"], "left_semi")
+    results = _module_results(platform, plan.join(modules, ["track_id", "tenant_id"]))
+    return _summarise(results, params).drop("is_linked").distinct()
 
 
 def environment_rollup(summary: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from lumenpath.operators.status import environment_status
 from lumenpath.params import ReportParams
 from lumenpath.plans.common import admins_for, visible_environments, visible_users
 from lumenpath.sources import Platform
+from lumenpath.sources.staging import Stage
 
 
 def environment_facts(
@@ -32,11 +33,13 @@ def environment_facts(
     users = real_users(platform, params).join(visible_users(platform, admins), who, "left_semi").select(*who)
     if audience is not None:
         users = users.join(audience.select(*who), who, "left_semi")
-    plan = (
+    planned = (
         environment_track_plan(platform, params)
         .join(visible_environments(platform, admins), ["environment_id", "tenant_id"], "left_semi")
         .join(users, who, "left_semi")
     )
+    # Summaries and counters both start from the plan: it is worked out once and read twice.
+    plan = Stage(platform.users.sparkSession, "environment").keep("plan", lambda: planned)
     access = platform.entity_access.where(F.trim("entity_type") == codes.ENVIRONMENT).select(
         "user_id", "tenant_id", F.col("entity_id").alias("environment_id"), "last_access_at"
     )

@@ -67,8 +67,10 @@ def activity_facts(platform: Platform, as_of: datetime | str) -> DataFrame:
     and repetitive ones, are joined to the result.
     """
     place = ["tenant_id", "environment_id", "module_id", "activity_id"]
-    content = broadcast_if_small(catalogue(platform))
-    plan = participation(platform).join(content.select(*place), ["module_id", "tenant_id", "environment_id"])
+    content = catalogue(platform)
+    # The ids are measured apart from the wide columns: long texts do not cost them their broadcast.
+    ids, content = broadcast_if_small(content.select(*place)), broadcast_if_small(content)
+    plan = participation(platform).join(ids, ["module_id", "tenant_id", "environment_id"])
     plan = plan.withColumn("_attempt", spread_key(F.col("attempt_id"), F.col("user_id"), F.col("module_id"), F.col("tenant_id")))
 
     per_activity = ["_attempt", "tenant_id", "activity_id"]

@@ -19,6 +19,7 @@ from lumenpath.operators.status import environment_status_from_modules, module_c
 from lumenpath.params import ReportParams
 from lumenpath.plans.common import admins_for, visible_environments, visible_users
 from lumenpath.sources import Platform
+from lumenpath.sources.staging import Stage
 
 KEYS = ["user_id", "tenant_id", "module_id"]
 HOME = ["user_id", "tenant_id", "environment_id"]
@@ -163,7 +164,8 @@ def module_status_columns(platform: Platform, params: ReportParams, admins: Data
 
     The pivot groups ids only; names, groups, scores and attributes are joined to the pivoted rows.
     """
-    facts = module_column_facts(platform, params, admins)
+    # Cells and totals both start from the facts: they are worked out once and read twice.
+    facts = Stage(platform.users.sparkSession, "module_columns").keep("facts", lambda: module_column_facts(platform, params, admins))
     platform = platform.for_tenant(params.tenant_id)
     seen = visible_to(platform, admins_for(platform, params, admins), codes.ENVIRONMENT, "environment_id")
     labels = module_labels(platform, params, seen)

@@ -163,7 +163,7 @@ def module_status_rows(
         F.when(graded & total.isNotNull(), decimal_comma(total)).otherwise(F.lit("")).alias("total_score"),
         codes.label_of(status, codes.MODULE_STATUS_LABELS).alias("module_status"),
         clock(F.coalesce("access_seconds", F.lit(0))).alias("access_time"),
-        F.when(status == "out_of_date", "Fora do Prazo").when(status.isin("approved", "reproved"), "Dentro do Prazo")
+        F.when(status == "out_of_date", codes.LATE_LABEL).when(status.isin("approved", "reproved"), codes.IN_TIME_LABEL)
         .when(status.isin("not_started", "in_progress"), "").alias("done_on_time"),
         day_minute(F.col("module_created_at")).alias("module_created_at"),
         day_minute(F.col("module_updated_at")).alias("module_updated_at"), "updated_by", "attempt_number",

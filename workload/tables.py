@@ -27,6 +27,7 @@ TENANTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 _P = "cast(substring(o_orderpriority, 1, 1) as bigint)"
 _MODULE = f"cast(year(o_orderdate) as bigint) * 10 + {_P}"
+# The stored states of an attempt and types of an activity.
 _STATUS = """case when o_orderstatus = 'P' and o_totalprice < 200000 then 'cancelado'
                   when o_orderstatus = 'P' and o_totalprice < 350000 then 'nao_iniciado'
                   when o_orderstatus = 'P' then 'aguardando_correcao'
