@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenpath.functions import codes
-from lumenpath.functions.exprs import blank_when, day, day_second, instant, percent_text, short_clock
+from lumenpath.functions.exprs import blank_when, day, day_second, percent_text, short_clock
 from lumenpath.functions.predicates import either_one_of, has_window, in_window, one_of, where_all
 from lumenpath.operators.access import all_groups
 from lumenpath.operators.attributes import with_attribute_columns

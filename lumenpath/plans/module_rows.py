@@ -12,7 +12,7 @@ from lumenpath.operators.access import all_groups
 from lumenpath.operators.attributes import with_attribute_columns
 from lumenpath.operators.content import module_hierarchy, module_roles, real_users
 from lumenpath.operators.labels import environment_switch
-from lumenpath.operators.latest import attempt_history, first_group, latest_attempt
+from lumenpath.operators.latest import attempt_history, first_group
 from lumenpath.operators.provenance import with_provenance
 from lumenpath.operators.sizes import broadcast_if_small
 from lumenpath.operators.status import module_status, module_window
