@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 from lumenpath.llm.words import slices
 
 TOP = 300
