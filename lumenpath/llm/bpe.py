@@ -31,7 +31,7 @@ from lumenpath.llm.words import slices
 
 #: Unicode white space, as a character class.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-REMEMBERED = 300_000  # cuts, and as many matches, of each generation in each worker process
+REMEMBERED = 300_000  # answers of each generation and table; idle workers keep them
 SHORT = 48  # characters of a cut that is remembered
 
 
@@ -108,7 +108,7 @@ class Encoder:
 
     def _encode_cut(self, cut: str) -> bytes:
         if cut.isalpha() or (cut[:1] == " " and cut[1:].isalpha()):
-            return self.matches[cut]
+            return self._encode_match(cut)  # the whole cut is remembered, so its one match need not be
         return b"".join(map(self.matches.__getitem__, self.split(cut)))
 
     def _encode_match(self, match: str) -> bytes:
