@@ -1,15 +1,17 @@
 """Main text of web pages by differencing with the page of the nearest URL.
 
 A page is read as lines: the text of each block element, character references decoded, white space turned into one space.
-Pages are sorted by host and path; of the two neighbours of a page on its host, the one whose path begins alike for longer is
-the nearest (ties: the one before).  The lines of both are aligned by a longest common subsequence, and lines that
-both have are the site's, not the page's: they are deleted.  A neighbour with just the same lines says nothing, and the other
-one is taken.
-
-What markup states outright is checked after that.  Lines of an ``article`` or ``main`` element are the page's own text even
-if a neighbour repeats them, and a page that has such an element has no text outside of it.  Lines in navigation, headers,
-footers, sidebars, notices, adverts, forms and reader comments, told by element or by the words of class, id and role, go
-in any case; scripts, styles, markup and comments are no lines at all.  A header inside an article is part of it.
+Pages are sorted by host and path.  Copies of an article differ in little but the site around it and would delete each other,
+so neighbours whose longest article line is the same (without an article: whose lines are all the same) form a run, and a run is
+compared with the last page before and the first page after it on its host.  The one whose path begins alike for longer is the
+nearest (ties: the one before).  The lines of both are aligned by a longest common subsequence, and lines that both have
+are the site's, not the page's: they are deleted, inside an article too.  A page that would lose more than half of its article that
+way is a copy all the same, and the other one is taken.
+
+What markup states outright is checked after that.  Lines in navigation, headers, footers, sidebars, notices, adverts, forms
+and reader comments, told by element or by the words of class, id and role, go in any case; scripts, styles, markup and comments
+are no lines at all.  A header inside an article is part of it.  Only where there is no page to compare with, an ``article`` or
+``main`` element says that there is no text of the page outside of it.
 
 Null and empty pages have an empty text.  Pages without a host are neighbours of each other.  Repeated rows get equal texts.
 """
@@ -21,6 +23,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -206,25 +209,43 @@ class Page:
     path: str
     key: int
     lines: list[int]
+    own: list[int] | None = None  # characters of each line that stands in the article, 0 for the others
+    run: int | None = None
+
+    def shared(self, before: Page | None, after: Page | None) -> list[int] | None:
+        """Numbers of the lines that the nearest neighbour has too; None if there is none to compare with."""
+        near = [(_alike(p.path, self.path), p) for p in (before, after) if p is not None and p.host == self.host and p.lines != self.lines]
+        for _, page in sorted(near, key=lambda x: -x[0]):
+            found = sorted(common(self.lines, page.lines))
+            if not self.own or 2 * sum(self.own[k] for k in found) <= sum(self.own):
+                return found
+        return None
+
+
+def main_text(lines: list[tuple[str, int]], shared: set[int] | None) -> str:
+    """The lines that are the page's own, after those shared with the neighbour are known; None: there is no neighbour."""
+    if shared is None:
+        wanted = PAGE if any(place == PAGE for _, place in lines) else OPEN
+        return "\n".join(line for line, place in lines if place == wanted)
+    return "\n".join(line for k, (line, place) in enumerate(lines) if place != SITE and k not in shared)
+
 
-    def shared(self, before: Page | None, after: Page | None) -> list[int]:
-        """Numbers of the lines that the nearest neighbour has too."""
-        near = [p for p in (before, after) if p is not None and p.host == self.host and p.lines != self.lines]
-        if not near:
-            return []
-        return sorted(common(self.lines, max(near, key=lambda p: _alike(p.path, self.path)).lines))
+_PAGE = "host string, path string, key bigint, lines array<bigint>, own array<int>, run bigint"
+_PAGE_NAMES = ["host", "path", "key", "lines", "own", "run"]
+_PAIRED = "key bigint, shared array<int>, edge int, host string, path string, lines array<bigint>, own array<int>, run bigint"
+_NAMES = ["key", "shared", "edge", "host", "path", "lines", "own", "run"]
+_KINDS = [pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()]
 
 
-def main_text(lines: list[tuple[str, int]], shared: set[int]) -> str:
-    """The lines that are the page's own, after those shared with the neighbour are known."""
-    has_article = any(place == PAGE for _, place in lines)
-    kept = [line for k, (line, place) in enumerate(lines) if place == PAGE or (place == OPEN and not has_article and k not in shared)]
-    return "\n".join(kept)
+def _digest(text: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
 
 
-_PAIRED = "key bigint, shared array<int>, edge int, host string, path string, lines array<bigint>"
-_NAMES = ["key", "shared", "edge", "host", "path", "lines"]
-_KINDS = [pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int64())]
+def _numbers(lines: list[tuple[str, int]]) -> tuple[list[int], list[int], int]:
+    """Digests of a page's lines, the characters of those in the article, and what tells the run."""
+    digests = [_digest(line.encode()) for line, _ in lines]
+    own = [len(line) if place == PAGE else 0 for line, place in lines]
+    return digests, own, digests[own.index(max(own))] if any(own) else _digest(np.array(digests, np.int64).tobytes())
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Page, int]]:
@@ -234,75 +255,91 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Page, int]]:
         for row in batch.to_pylist():
             if (row["host"], row["path"], row["key"]) != last:
                 last = row["host"], row["path"], row["key"]
-                yield Page(row["host"], row["path"], row["key"], row["lines"]), row.get("edge") or 0
+                yield Page(*(row[c] for c in _PAGE_NAMES)), row.get("edge") or 0
+
+
+def _runs(pages: Iterator[tuple[Page, int]]) -> Iterator[list[tuple[Page, int]]]:
+    """Neighbours of one host and run; equal pages hold the same lists."""
+    run: list[tuple[Page, int]] = []
+    for page, edge in pages:
+        if run and (run[0][0].host, run[0][0].run) != (page.host, page.run):
+            yield run
+            run = []
+        if run and (run[-1][0].lines, run[-1][0].own) == (page.lines, page.own):
+            page.lines, page.own = run[-1][0].lines, run[-1][0].own
+        run.append((page, edge))
+    if run:
+        yield run
+
+
+def _compared(run: list[tuple[Page, int]], before: Page | None, after: Page | None) -> Iterator[tuple[int, list[int] | None]]:
+    """The key and the shared lines of each page of a run."""
+    for page, _ in run:
+        yield page.key, page.shared(before, after)
 
 
 def _pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shared lines of each page whose two neighbours are here; the first and the last two pages as they are.
+    """Shared lines of the pages of each run whose two neighbours are here; the first and the last run as they are.
 
-    ``edge`` is 1 for the first and the last page, which still lack a neighbour, and 2 for the one beside it.
+    ``edge`` is 1 for the pages of the first and the last run, which may go on elsewhere, and 2 for the page beside them.
     """
     out: list[tuple] = []
 
-    def batch() -> pa.RecordBatch:
-        made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _KINDS)], names=_NAMES)
-        out.clear()
-        return made
+    def full(least: int) -> Iterator[pa.RecordBatch]:
+        while len(out) >= least:
+            some = out[:2000]
+            del out[:2000]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), _KINDS)], names=_NAMES)
 
-    edge = lambda page, kind: (page.key, None, kind, page.host, page.path, page.lines)
-    inner = lambda page, a, b: (page.key, page.shared(a, b), 0, None, None, None)
-    held: list[Page] = []
+    edge = lambda page, kind: (page.key, None, kind, page.host, page.path, page.lines, page.own, page.run)
+    before = run = None
     count = 0
-    for page, _ in _rows(batches):
+    for after in _runs(_rows(batches)):
         count += 1
-        held.append(page)
-        if count == 1:
-            out.append(edge(page, 1))
-        elif count == 2:
-            out.append(edge(page, 2))
-        if len(held) == 3:
-            out.append(inner(held[1], held[0], held[2]))
-            held.pop(0)
-        if len(out) >= 2000:
-            yield batch()
+        if count == 2:
+            out.append(edge(after[0][0], 2))
+        if run is None:
+            out += [edge(page, 1) for page, _ in after]
+        elif before is not None:
+            out += [(key, found, 0, None, None, None, None, None) for key, found in _compared(run, before, after[0][0])]
+        before, run = run and run[-1][0], after
+        yield from full(2000)
     if count > 1:
-        if count > 3:
-            out.append(edge(held[0], 2))
-        out.append(edge(held[1], 1))
-    if out:
-        yield batch()
+        out.append(edge(before, 2))
+        out += [edge(page, 1) for page, _ in run]
+    yield from full(1)
 
 
 def _pair_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shared lines of the pages with edge 1; all pages of edge 1 and 2 are here, in order."""
-    before = current = None
-    for after in [*_rows(batches), None]:
-        if current is not None and current[1] == 1:
-            found = current[0].shared(before and before[0], after and after[0])
-            yield pa.RecordBatch.from_arrays([pa.array([current[0].key]), pa.array([found], pa.list_(pa.int32()))], names=["key", "shared"])
-        before, current = current, after
+    before = run = None
+    for after in chain(_runs(_rows(batches)), [None]):
+        if run is not None and any(kind == 1 for _, kind in run):
+            keys, found = zip(*_compared([x for x in run if x[1] == 1], before, after and after[0][0]))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.list_(pa.int32()))], names=["key", "shared"])
+        before, run = run and run[-1][0], after
 
 
 def _shared_lines(pages: DataFrame) -> DataFrame:
-    """``key`` and the numbers of the lines shared with the nearest page, from ``key``, ``host``, ``path``, ``html``."""
+    """``key`` and the numbers of the lines shared with the nearest page, if there is one, from ``key``, ``host``, ``path``, ``html``."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = lambda line: int.from_bytes(hashlib.blake2b(line.encode(), digest_size=8).digest(), "little", signed=True)
         for batch in batches:
             for part in slices(batch, "html"):
-                lines = [[digest(line) for line, _ in page_lines(page)] for page in part.column("html").to_pylist()]
+                found = zip(*(_numbers(page_lines(page)) for page in part.column("html").to_pylist()))
+                kinds = pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64()
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("host", "path", "key")), pa.array(lines, pa.list_(pa.int64()))], names=["host", "path", "key", "lines"]
+                    [*(part.column(c) for c in ("host", "path", "key")), *(pa.array(c, t) for c, t in zip(found, kinds))], names=_PAGE_NAMES
                 )
 
-    lines = pages.select("host", "path", "key", "html").mapInArrow(read, "host string, path string, key bigint, lines array<bigint>")
+    lines = pages.select("host", "path", "key", "html").mapInArrow(read, _PAGE)
     order = ["host", "path", "key"]
     paired = lines.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_pair, _PAIRED)
     paired = Stage(pages.sparkSession, "page_text").keep("paired", lambda: paired)
-    edges = paired.where("edge > 0").select("key", "edge", "host", "path", "lines")
+    edges = paired.where("edge > 0").select("edge", *_PAGE_NAMES)
     # A page next to two partitions' ends may come twice; the one that lacks a neighbour counts.
     edges = edges.coalesce(1).sortWithinPartitions(*order, "edge").mapInArrow(_pair_edges, "key bigint, shared array<int>")
-    return paired.where("edge = 0").select("key", "shared").union(edges).where("size(shared) > 0").dropDuplicates(["key"])
+    return paired.where("edge = 0").select("key", "shared").union(edges).where("shared is not null").dropDuplicates(["key"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -331,7 +368,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 texts = []
                 for cell, size, found in zip(*(part.column(c).to_pylist() for c in ("lines", "size", "shared"))):
                     lines = pa.decompress(cell, size, "zstd", asbytes=True).decode().split("\n") if size else []
-                    texts.append(main_text([(line[1:], int(line[0])) for line in lines], set(found or ())))
+                    texts.append(main_text([(line[1:], int(line[0])) for line in lines], None if found is None else set(found)))
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
     lines = named.select("row", "key", "html").mapInArrow(read, schema)

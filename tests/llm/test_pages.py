@@ -106,6 +106,22 @@ def test_lines_shared_with_the_nearest_page_go(rows):
     assert list(found[url] for url, _ in data) == ["own one", "own two\nmenu", "own three", "own four", "site\nmenu\nalone"]
 
 
+def test_differencing_decides_inside_an_article(rows):
+    page = lambda own, *out: "".join(f"<div>{x}</div>" for x in out) + f"<main><p>Follow us</p><p>{own}</p><div class=ad>buy</div></main>"
+    data = [("http://a.org/x/1", page("text of the first page", "site", "only here")), ("http://a.org/x/2", page("another text on the second", "site")),
+            ("http://b.org/x", page("alone on its host", "site"))]
+    found = {r["url"]: r["text"] for r in p.extract(rows(data, "url string, html string")).collect()}
+    assert [found[url] for url, _ in data] == ["only here\ntext of the first page", "another text on the second", "Follow us\nalone on its host"]
+
+
+def test_copies_of_an_article_keep_its_text(rows):
+    page = lambda *own: "<article><p>Follow us</p>" + "".join(f"<p>{x}</p>" for x in own) + "</article>"
+    copy = "a long line that all the copies have", "and another one"
+    data = [(f"http://a.org/{k}", page(*copy, f"copy {k}")) for k in range(1, 6)] + [("http://a.org/6", page("quite another article on the host"))]
+    found = {r["url"]: r["text"] for r in p.extract(rows(data, "url string, html string").repartition(4)).collect()}
+    assert [found[url] for url, _ in data] == ["\n".join([*copy, f"copy {k}"]) for k in range(1, 6)] + ["quite another article on the host"]
+
+
 def test_neighbours_do_not_depend_on_partitions(spark, rows):
     rnd = random.Random(5)
     page = lambda k: "".join(f"<p>{rnd.choice('abcdefg')}</p>" for _ in range(6)) + f"<p>own {k}</p>"
