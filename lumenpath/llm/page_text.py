@@ -6,7 +6,7 @@ so neighbours whose longest article line is the same (without an article: whose
 compared with the last page before and the first page after it on its host.  The one whose path begins alike for longer is the
 nearest (ties: the one before).  The lines of both are aligned by a longest common subsequence, and lines that both have
 are the site's, not the page's: they are deleted, inside an article too.  A page that would lose more than half of its article that
-way is a copy all the same, and the other one is taken.
+way is a copy all the same, and the other one is taken.  Equal pages of a run get equal texts.
 
 What markup states outright is checked after that.  Lines in navigation, headers, footers, sidebars, notices, adverts, forms
 and reader comments, told by element or by the words of class, id and role, go in any case; scripts, styles, markup and comments
@@ -212,9 +212,13 @@ class Page:
     own: list[int] | None = None  # characters of each line that stands in the article, 0 for the others
     run: int | None = None
 
-    def shared(self, before: Page | None, after: Page | None) -> list[int] | None:
-        """Numbers of the lines that the nearest neighbour has too; None if there is none to compare with."""
-        near = [(_alike(p.path, self.path), p) for p in (before, after) if p is not None and p.host == self.host and p.lines != self.lines]
+    def shared(self, before: Page | None, after: Page | None, last: str | None = None) -> list[int] | None:
+        """Numbers of the lines that the nearest neighbour has too; None if there is none to compare with.
+
+        ``last`` is the path of the last of several equal pages.
+        """
+        paths = (before, self.path), (after, self.path if last is None else last)
+        near = [(_alike(p.path, path), p) for p, path in paths if p is not None and p.host == self.host and p.lines != self.lines]
         for _, page in sorted(near, key=lambda x: -x[0]):
             found = sorted(common(self.lines, page.lines))
             if not self.own or 2 * sum(self.own[k] for k in found) <= sum(self.own):
@@ -273,9 +277,14 @@ def _runs(pages: Iterator[tuple[Page, int]]) -> Iterator[list[tuple[Page, int]]]
 
 
 def _compared(run: list[tuple[Page, int]], before: Page | None, after: Page | None) -> Iterator[tuple[int, list[int] | None]]:
-    """The key and the shared lines of each page of a run."""
+    """The key and the shared lines of each page of a run; equal pages are compared once."""
+    equal: dict[tuple, list[Page]] = {}
     for page, _ in run:
-        yield page.key, page.shared(before, after)
+        equal.setdefault((tuple(page.lines), tuple(page.own)), []).append(page)
+    for pages in equal.values():
+        found = pages[0].shared(before, after, pages[-1].path)
+        for page in pages:
+            yield page.key, found
 
 
 def _pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

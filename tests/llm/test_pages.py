@@ -144,6 +144,21 @@ def test_neighbours_do_not_depend_on_partitions(spark, rows):
     assert sorted(t for _, t in texts[0]) == sorted(wanted)
 
 
+def test_all_equal_pages_of_a_run_lose_the_site(spark, rows):
+    page = lambda *lines: "".join(f"<div>{x}</div>" for x in lines)
+    data = [("http://a.org/a/0", page("menu", "first", "bottom"))] + [(f"http://a.org/b/{k // 2:02d}?{k}", page("menu", "copied", "bottom")) for k in range(30)]
+    data += [("http://a.org/b/zz", page("menu", "last")), ("http://b.org/b/1", page("menu", "copied", "bottom"))]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (1, 2, 9):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found = {r["url"]: r["text"] for r in p.extract(rows(data, "url string, html string").repartition(5)).collect()}
+            # The path of /b/zz begins alike for longer than that of /a/0.
+            assert [found[url] for url, _ in data] == ["first"] + ["copied\nbottom"] * 30 + ["last", "menu\ncopied\nbottom"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.integers(0, 4), max_size=14), st.lists(st.integers(0, 4), max_size=14))
 def test_common_is_a_longest_common_subsequence(a, b):
