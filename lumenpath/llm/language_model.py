@@ -14,8 +14,8 @@ covers, and unigrams are smoothed by adding one.
 The base score needs exact unigram counts.  The ``FREQUENT`` most frequent words are broadcast; all other words of a document
 are joined with the full table of counts.
 
-Words are told apart by 64-bit hashes, n-grams of two and three words by the shard and 40 more bits.  Trigrams of count 1 are
-not inserted (``LEAST``), as is usual for this order.  Null and empty texts are one token, the end.  Rows without an id are
+Words are told apart by 64-bit hashes, n-grams of two and three words by the shard and 40 more bits.  All n-grams
+are inserted, also those of count 1 (``LEAST``).  Null and empty texts are one token, the end.  Rows without an id are
 scored and learned from.  Without training rows all scores rest on V = N = 0.
 """
 
@@ -34,7 +34,7 @@ from lumenpath.llm.words import Words, chain, mix, slices
 from lumenpath.sources.staging import Stage
 
 END, OPEN = np.uint64(0x656E64), np.uint64(0x6F70656E)  # tokens no word hashes to by design: the end, and what stands before a text
-LEAST = (1, 1, 2)  # least count of an n-gram of 1, 2, 3 words in the filter
+LEAST = (1, 1, 1)  # least count of an n-gram of 1, 2, 3 words in the filter
 WEIGHT = (0.1, 0.1)  # a of bigrams and trigrams
 BITS_PER_ENTRY, PROBES = 10, 4
 ROUND_BYTES = 96 << 20

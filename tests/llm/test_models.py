@@ -182,6 +182,16 @@ def test_scores_equal_exact_counts(rows, monkeypatch, round_bytes, frequent, sha
         assert got[k]["base_score"] == pytest.approx(base, rel=1e-9) and got[k]["score"] == pytest.approx(score, rel=0.02)
 
 
+def test_a_passage_seen_once_is_known(rows, monkeypatch):
+    monkeypatch.setattr(lm, "BITS_PER_ENTRY", 64)
+    passage = "some words that stand here only once"
+    training = ["some other words", "words that stand", "stand here", "here only", "only once", "that stand"]
+    docs = rows([(1, passage)], "doc_id bigint, text string")
+    score = lambda texts: lm.score(docs, rows([(t,) for t in texts], "text string")).first()["score"]
+    assert score([*training, passage]) == pytest.approx(list(brute_model([*training, passage], [passage]))[0][-1], rel=0.02)
+    assert score([passage]) > -5  # -4.36; without the trigrams -5.86
+
+
 def test_nothing_to_learn_from_or_to_score(rows):
     docs, none = rows([(None, "a b"), (2, None)], "doc_id bigint, text string"), rows([], "text string")
     assert sorted((r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in lm.score(docs, none).collect()) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
