@@ -46,12 +46,24 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; rows that share an id stay or go together, as one row."""
-    found = Stage(spark, "near_duplicates").keep("groups", lambda: jaccard.jaccard_groups(docs).where("doc_id is not null"))
-    kept = found.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("first")).where("first").select("doc_id")
-    row = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    chosen = docs.join(kept, "doc_id").select(*docs.columns, row.alias("near_duplicates_row"))
-    return chosen.where("near_duplicates_row = 1").select(*docs.columns).union(docs.where("doc_id is null"))
+    """One row of each group of near copies: the one with the smallest id, or without an id if none has one.
+
+    Rows are told apart by a 64-bit hash of id and text, whatever they share of it.  Rows without words are no copies: those that
+    repeat an id and text stay as one row, those without an id all stay.
+    """
+    key = F.xxhash64(F.col("doc_id").cast("string"), F.lit(0), "text")
+    keyed = docs.select("*", key.alias("near_duplicates_key"))
+    named = keyed.select(F.col("near_duplicates_key").alias("doc_id"), "text")
+    groups = jaccard.jaccard_groups(named).select(F.col("doc_id").alias("near_duplicates_key"), "component_id", "n_shingles").distinct()
+    found = Stage(spark, "near_duplicates").keep("groups", lambda: groups)
+    doc_id = F.col("doc_id").cast("bigint")
+    ids = keyed.select(doc_id.alias("doc_id"), "near_duplicates_key").distinct().join(found, "near_duplicates_key")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "near_duplicates_key")).alias("first")
+    kept = ids.groupBy("component_id").agg(first, F.max("n_shingles").alias("near_duplicates_size"))
+    kept = kept.select("first.near_duplicates_key", "near_duplicates_size")
+    row = F.row_number().over(Window.partitionBy("near_duplicates_key").orderBy(F.xxhash64("text")))
+    chosen = keyed.join(kept, "near_duplicates_key").withColumn("near_duplicates_row", row)
+    return chosen.where("near_duplicates_row = 1 or (doc_id is null and near_duplicates_size = 0)").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

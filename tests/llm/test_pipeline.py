@@ -94,6 +94,14 @@ def test_stages_equal_brute_force(spark, folder, tmp_path):
     assert bag(whole, "doc_id", "n_tokens", "ids") == bag(outputs[4], "doc_id", "n_tokens", "ids")
 
 
+def test_each_group_keeps_one_row_whatever_its_id(spark, rows):
+    one, two, three, four = ("alpha beta gamma delta epsilon zeta", "one two three four five six", "red green blue black white grey", "a b c d e f g")
+    data = [(1, one), (2, one), (2, two), (3, two), (3, three), (3, three), (None, three), (None, four), (None, four), (None, None), (None, None), (4, ""), (4, "")]
+    found = corpus_pipeline.near_duplicates(spark, rows(data, "doc_id bigint, text string").repartition(3), "")
+    wanted = [(1, one), (2, two), (3, three), (None, four), (None, None), (None, None), (4, "")]
+    assert bag(found, "doc_id", "text") == sorted(wanted, key=str)
+
+
 def test_empty_tables(spark, folder, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").where("false").write.parquet(f"{tmp_path}/{name}.parquet")
