@@ -8,8 +8,8 @@ Only runs of words in which each neighbouring pair occurs in an item reach the a
 such a run.  Items are collected in blocks of at most ``BLOCK_WORDS`` words; each block has its own automaton, broadcast
 on its own, and the documents are scanned once for each block, with a written table in between.
 
-Null and empty texts have no words and no hits.  Items without an id or without words are left out; rows that repeat
-an item id are parts of one item id.  Without items nothing is hit.  Repeated documents are judged each on its own.
+Null and empty texts have no words and no hits.  Items without words are left out, and those without an id unless
+``unnamed`` takes their windows too; rows that repeat an item id are parts of one item id.  Without items nothing is hit.  Repeated documents are judged each on its own.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ BLOCK_WORDS = 250_000
 class Automaton:
     """Suffix automaton of several word sequences, with the items whose windows each state stands for."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW):
         words = Words(pa.array([text for _, text in items], pa.string()), NOT_ALPHANUMERIC)
         self.vocabulary, ids = np.unique(words.hashes, return_inverse=True)
         self.window, self.base = window, len(self.vocabulary) + 1
@@ -120,7 +120,7 @@ class Automaton:
                 state, matched = to, matched + 1
             yield state, matched
 
-    def matches(self, sequence: list[int], spans: list[list[int]], items: set[str], first: int) -> None:
+    def matches(self, sequence: list[int], spans: list[list[int]], items: set[str | None], first: int) -> None:
         """Adds the hit words of a sequence, whose first word has the number ``first``, and the items hit."""
         link, window, short = self.link, self.window, self.short
         for at, (state, matched) in enumerate(self._walk(sequence), first + 1):
@@ -204,27 +204,29 @@ def _scan(docs: DataFrame, automaton: Automaton, again: bool, keep_text: bool) -
                 found = [
                     pa.array(np.diff(words.starts), pa.int64()),
                     pa.array([[x for span in s for x in span] for s in spans], pa.list_(pa.int32())),
-                    pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                    pa.array([sorted(x - {None}) for x in items], pa.list_(pa.string())),
                 ]
                 yield pa.RecordBatch.from_arrays([part.column(f.name) for f in kept] + found, names=[f.name for f in schema.fields])
 
     return docs.mapInArrow(scan, schema)
 
 
-def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, keep_text: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, keep_text: bool = False, block_words: int = BLOCK_WORDS, unnamed: bool = False) -> DataFrame:
     """Adds ``n_words``, ``spans`` and ``items`` to documents that have a ``text``; ``items``: ``item_id``, ``text``.
 
-    Columns of these three names that the documents bring are replaced.
+    Columns of these three names that the documents bring are replaced.  With ``unnamed``, items without an id count for ``spans``.
     """
     docs = docs.drop("n_words", "spans", "items")
-    texts = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null")
+    texts = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null")
+    if not unnamed:
+        texts = texts.where("item_id is not null")
     size = texts.agg(F.sum(F.char_length("text") / 2 + 1)).first()[0] or 0  # no more words than that
     blocks = int(size // block_words) + 1
     stage = Stage(docs.sparkSession, "decontaminate")
     out = docs
     for k in range(blocks):
-        block = texts.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) if blocks > 1 else texts
-        automaton = Automaton(sorted(tuple(row) for row in block.collect()), window)
+        block = texts.where(F.pmod(F.xxhash64(F.coalesce("item_id", "text")), F.lit(blocks)) == k) if blocks > 1 else texts
+        automaton = Automaton(sorted((tuple(row) for row in block.collect()), key=lambda x: (x[0] is None, x[0] or "", x[1])), window)
         last = k == blocks - 1
         out = _scan(out, automaton, again=k > 0, keep_text=keep_text or not last)
         if not last:
@@ -243,7 +245,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_coverage: float = 0.5,
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     hidden = docs.select(F.struct(*others, F.lit(None).alias("text")).alias("row"), F.col("text"))
-    found = matches(hidden, items, window, keep_text=True).where(n_hit() <= max_coverage * F.col("n_words"))
+    found = matches(hidden, items, window, keep_text=True, unnamed=True).where(n_hit() <= max_coverage * F.col("n_words"))
     schema = T.StructType([f for f in found.schema.fields if f.name in ("row", "text")])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -134,7 +134,7 @@ from judged group by doc_id
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie inside windows of benchmark items, and the items they come from."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark"), unnamed=True)
     return found.select(
         "doc_id", "n_words", decontaminate.n_hit(), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),

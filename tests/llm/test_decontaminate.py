@@ -61,6 +61,15 @@ def test_windows_leave_the_text(rows):
     assert found[5]["text"] == data[4][1] and found[3]["text"] is None and found[4]["text"] == ""
 
 
+@pytest.mark.parametrize("block_words", [1_000_000, 4])
+def test_items_without_an_id_are_hit(rows, block_words):
+    items = rows([(None, "one two three four"), (None, "one two"), (2, "alpha beta gamma delta"), (None, None)], "item_id bigint, text string")
+    docs = rows([(1, "so one two three four and alpha beta gamma delta end", "x", 1)], DOCS)
+    found = d.matches(docs, items, window=4, block_words=block_words, unnamed=True).first()
+    assert flat(found["spans"]) == [1, 2, 3, 4, 6, 7, 8, 9] and found["items"] == ["2"]
+    assert d.decontaminate(docs, items, 0.9, window=4).first()["text"] == "so  and  end"
+
+
 def test_empty_tables(rows):
     docs, none = rows([(1, "a b", "x", 1)], DOCS), rows([], "item_id bigint, text string")
     assert [tuple(r) for r in d.matches(docs, none).select("n_words", "spans", "items").collect()] == [(2, [], [])]
