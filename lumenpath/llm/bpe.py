@@ -6,7 +6,8 @@ buckets are filled, and find-first-set picks the next rank.  An entry is stale,
 position no longer has that rank.  A match of n bytes takes n log n steps, also when it is very long.
 
 White space can only stand at the start of a match or be one, so a text is first cut after each run of other characters;
-the ids of short cuts are remembered by the worker process, in a table of bounded size.
+the ids of short cuts are remembered in tables of a bounded number of bytes.  Between tasks a worker process, which may stand
+idle for long, keeps a small part of them: the answers it needed first, which are mostly those it needs most.
 
 Null and empty texts have no ids.  Every id decodes to its bytes; the decoded bytes are those of the text.
 """
@@ -31,7 +32,10 @@ from lumenpath.llm.words import slices
 
 #: Unicode white space, as a character class.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-REMEMBERED = 300_000  # answers of each generation and table; idle workers keep them
+#: Bytes of remembered answers: of cuts, of cuts that follow one space, and of matches.  Each table has two generations of that size.
+REMEMBERED = (32 << 20, 160 << 20, 64 << 20)
+KEPT = 0.4  # of a generation, at most, that an idle worker keeps
+ENTRY_BYTES = 200  # of an answer, besides its characters and ids
 SHORT = 48  # characters of a cut that is remembered
 
 
@@ -89,9 +93,15 @@ class Encoder:
             ranks[token[:k]] << self.bits | ranks[token[k:]]: rank
             for token, rank in ranks.items() for k in range(1, len(token)) if token[:k] in ranks and token[k:] in ranks
         }
-        self.cuts: dict[str, bytes] = _Memory(self._encode_cut, SHORT)
-        self.spaced: dict[str, bytes] = _Memory(lambda cut: self._encode_cut(" " + cut), SHORT)  # by what follows the space
-        self.matches: dict[str, bytes] = _Memory(self._encode_match, SHORT)
+        cuts, spaced, matches = REMEMBERED
+        self.cuts: dict[str, bytes] = _Memory(self._encode_cut, cuts)
+        self.spaced: dict[str, bytes] = _Memory(lambda cut: self._encode_cut(" " + cut), spaced)  # by what follows the space
+        self.matches: dict[str, bytes] = _Memory(self._encode_match, matches)
+
+    def rest(self) -> None:
+        """Forgets most answers; called at the end of a task."""
+        for table in (self.cuts, self.spaced, self.matches):
+            table.shrink(int(table.limit * KEPT))
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -198,23 +208,37 @@ class Decoder:
 
 
 class _Memory(dict):
-    """Answers for short keys, in two generations: when the young one is full it becomes the old one."""
+    """Answers for short keys, in two generations: when the young one holds ``limit`` bytes it becomes the old one."""
 
-    def __init__(self, answer, longest: int):
+    def __init__(self, answer, limit: int):
         super().__init__()
-        self.answer, self.longest, self.old = answer, longest, {}
+        self.answer, self.limit, self.held, self.old = answer, limit, 0, {}
 
     def __missing__(self, key: str) -> bytes:
         found = self.old.get(key)
         if found is None:
             found = self.answer(key)
-        if len(key) <= self.longest:
-            if len(self) >= REMEMBERED:
+        if len(key) <= SHORT:
+            self.held += ENTRY_BYTES + 2 * len(key) + len(found)
+            if self.held > self.limit:
                 self.old = dict(self)
                 self.clear()
+                self.held = ENTRY_BYTES + 2 * len(key) + len(found)
             self[key] = found
         return found
 
+    def shrink(self, limit: int) -> None:
+        """Keeps the first answers of the young generation, up to so many bytes."""
+        kept, self.held, self.old = [], 0, {}
+        for key, found in self.items():
+            size = ENTRY_BYTES + 2 * len(key) + len(found)
+            if self.held + size > limit:
+                break
+            self.held += size
+            kept.append((key, found))
+        self.clear()
+        self.update(kept)
+
 
 def _of_this_process(name: str, build):
     """One object a worker process, which outlives the task."""
@@ -242,11 +266,14 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _of_this_process(name, lambda: Encoder(ranks.value, pattern))
-        for batch in batches:
-            for part in slices(batch, "text"):
-                ids = [encoder.encode(text) for text in part.column("text").to_pylist()]
-                counts = [len(x) // 4 for x in ids]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary()), pa.array(counts, pa.int64())], names=schema.fieldNames())
+        try:
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    ids = [encoder.encode(text) for text in part.column("text").to_pylist()]
+                    counts = [len(x) // 4 for x in ids]
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary()), pa.array(counts, pa.int64())], names=schema.fieldNames())
+        finally:
+            encoder.rest()
 
     return docs.mapInArrow(run, schema)
 

@@ -64,6 +64,49 @@ def test_merging_order_is_by_rank_then_place():
     assert encoder.merge(b"aaaaa") == [2, 2, 197]
 
 
+def merged_by_queue(encoder, piece):
+    """Ids of one match, merged with nothing but the queue and whole lists."""
+    ranks, parts, queue = encoder.ranks, [bytes([b]) for b in piece], bpe.RankQueue(max(encoder.ranks.values()) + 1)
+    if piece in ranks:
+        return [ranks[piece]]
+    follows = lambda i: next((j for j in range(i + 1, len(parts)) if parts[j]), None)
+    pair = lambda i: ranks.get(parts[i] + parts[follows(i)]) if parts[i] and follows(i) is not None else None
+    for i in range(len(parts)):
+        if pair(i) is not None:
+            queue.push(pair(i), i)
+    while queue.summary:
+        rank, i = queue.pop()
+        if pair(i) != rank:
+            continue
+        j = follows(i)
+        parts[i], parts[j] = parts[i] + parts[j], b""
+        before = [k for k in range(i) if parts[k]][-1:]
+        for k in [i, *before]:
+            if pair(k) is not None:
+                queue.push(pair(k), k)
+    return [ranks[p] for p in parts if p]
+
+
+def test_merge_equals_merging_by_the_queue(encoder):
+    rnd = random.Random(3)
+    for _ in range(300):
+        piece = "".join(rnd.choice(["a", "b", "th", "ing", "é", "er", "st", "zq", "on"]) for _ in range(rnd.randint(1, 25))).encode()
+        assert encoder.merge(piece) == merged_by_queue(encoder, piece)
+
+
+def test_remembered_answers_are_bounded_and_mostly_forgotten_after_a_task(encoder, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", (20_000, 20_000, 20_000))
+    small = bpe.Encoder(encoder.ranks, public_tokenizers.PATTERN)
+    text = " ".join(f"wörd{k}x {k % 7}" for k in range(3000))
+    assert small.encode(text) == encoder.encode(text) == small.encode(text)
+    for table in (small.cuts, small.spaced, small.matches):
+        for generation in (table, table.old):
+            assert sum(bpe.ENTRY_BYTES + 2 * len(k) + len(v) for k, v in generation.items()) <= 20_000
+    small.rest()
+    assert all(t.held <= 8_000 and not t.old for t in (small.cuts, small.spaced, small.matches)) and small.spaced
+    assert small.encode(text) == encoder.encode(text)
+
+
 def test_rows_come_back(rows, encoder):
     texts = ["hello  world", None, "", " \n", "é" * 3000, "same", "same"]
     frame = rows([(k, t, "x", 0) for k, t in enumerate(texts)] + [(None, "x", None, None)], "doc_id bigint, text string, ids string, decoded int")
