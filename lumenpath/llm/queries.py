@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenpath.llm import bpe, decontaminate, hamming, jaccard, language, language_model, line_dedup, page_text, quality, url_filter
+from lumenpath.llm import bpe, decontaminate, hamming, jaccard, language, language_model, line_dedup, page_text, prefix_trie, quality, url_filter
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -161,3 +161,63 @@ with codes as (
 )
 select query_id, rank, neighbor_id, distance from ranked where rank <= 10
 """
+
+
+@query
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the trie of conversations that begin with up to three turns of another one."""
+    numbered = prefix_trie.number_turns(table(spark, sf_dir, "conversations"))
+    conv_id = F.col("conv_id")
+    turns, conversations = prefix_trie.borrow_heads(numbered, conv_id - conv_id % 20, F.crc32(conv_id.cast("string")) % 4, most=3)
+    return prefix_trie.prefix_trie(turns, conversations)
+
+
+LLM_ORACLES["op11_conversation_prefix_trie"] = r"""
+with recursive shifts(byte, step, value) as (
+    select range, 0, range from range(256)
+    union all
+    select byte, step + 1, case when value & 1 = 1 then xor(value >> 1, 3988292384) else value >> 1 end from shifts where step < 8
+), crc_table as (
+    select byte, value from shifts where step = 8
+), crc(conv_id, digits, place, value) as (
+    select distinct conv_id, cast(conv_id as varchar), 0, 4294967295 from conversations where conv_id is not null
+    union all
+    select c.conv_id, c.digits, c.place + 1, xor(c.value >> 8, t.value)
+    from crc c join crc_table t on t.byte = xor(c.value, ascii(substr(c.digits, c.place + 1, 1))) & 255 where c.place < length(c.digits)
+), heads as (
+    select conv_id, conv_id - conv_id % 20 as lender, xor(value, 4294967295) % 4 as heads from crc where place = length(digits)
+), texts as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+), hashed as (
+    select conv_id, turn, md5(length(role) || ':' || role || text) as key, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words from texts
+), numbered as (
+    select *, row_number() over (partition by conv_id order by turn nulls first, key) as place from hashed
+), lent as (
+    select h.conv_id, n.place as depth, n.key, n.words from heads h join numbered n on n.conv_id = h.lender where n.place <= h.heads
+), taken as (
+    select h.conv_id, h.heads, count(l.depth) as taken from heads h left join lent l on l.conv_id = h.conv_id group by all
+), rebuilt as (
+    select * from lent
+    union all
+    select n.conv_id, n.place - t.heads + t.taken, n.key, n.words from numbered n join taken t on t.conv_id = n.conv_id where n.place > t.heads
+), named as (
+    select conv_id, depth, words, string_agg(key, '') over (partition by conv_id order by depth rows unbounded preceding) as node from rebuilt
+    union all
+    select conv_id, 0, 0, '' from heads
+), linked as (
+    select *, lag(node) over (partition by conv_id order by depth) as parent, lead(node) over (partition by conv_id order by depth) is null as is_end from named
+), nodes as (
+    select node, depth, min(conv_id) as conv_id, any_value(parent) as parent, count(*) as n_convs, max(words) as words,
+           sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where is_end), '')) as ends_sha256
+    from linked group by node, depth
+), children as (
+    select parent, count(*) as n_children from nodes where parent is not null group by parent
+), grown as (
+    select n.*, coalesce(c.n_children, 0) as n_children from nodes n left join children c on c.parent = n.node
+), sums as (
+    select a.node, count(*) filter (where g.n_children = 0) as n_leaves, cast(sum((g.n_convs - 1) * g.words) as bigint) as saved_tokens
+    from grown g join named a on a.conv_id = g.conv_id and a.depth <= g.depth group by a.node
+)
+select g.conv_id, cast(g.depth as bigint) as depth, p.conv_id as parent_conv_id, g.n_convs, g.n_children, s.n_leaves, s.saved_tokens, g.ends_sha256
+from grown g join sums s on s.node = g.node left join nodes p on p.node = g.parent
+"""
