@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenpath.llm import bpe, decontaminate, hamming, jaccard, language, language_model, line_dedup, page_text, prefix_trie, quality, url_filter
+from lumenpath.llm import block_neighbours, bpe, decontaminate, hamming, jaccard, language, language_model, line_dedup, page_text, prefix_trie, quality, url_filter
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -221,3 +221,25 @@ with recursive shifts(byte, step, value) as (
 select g.conv_id, cast(g.depth as bigint) as depth, p.conv_id as parent_conv_id, g.n_convs, g.n_children, s.n_leaves, s.saved_tokens, g.ends_sha256
 from grown g join sums s on s.node = g.node left join nodes p on p.node = g.parent
 """
+
+
+@query
+def op12_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors, by Euclidean distance, of every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return block_neighbours.nearest(vectors, vectors.where(F.col("id") % 100 == 0), k=10)
+
+
+LLM_ORACLES["op12_approximate_nearest_neighbours"] = """
+with vectors as (
+    select distinct vec_id, cast(embedding as double[]) as vector from embeddings
+    where vec_id is not null and len(embedding) > 0 and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+      and list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), pairs as (
+    select q.vec_id as query_id, q.vector as query, d.vec_id, list_distance(q.vector, d.vector) as score
+    from vectors q join vectors d on len(q.vector) = len(d.vector) and (q.vec_id <> d.vec_id or q.vector <> d.vector) where q.vec_id % 100 = 0
+), ranked as (
+    select *, cast(row_number() over (partition by query_id, query order by score, vec_id) as integer) as rank from pairs
+)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+"""
