@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenpath.llm import block_neighbours, bpe, decontaminate, hamming, jaccard, language, language_model, line_dedup, page_text, prefix_trie, quality, url_filter
+from lumenpath.llm import block_neighbours, bpe, decontaminate, hamming, jaccard, language, language_model, lexical, line_dedup, page_text, prefix_trie, quality, url_filter
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -243,3 +243,39 @@ with vectors as (
 )
 select query_id, rank, vec_id, score from ranked where rank <= 10
 """
+
+
+@query
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 documents that score highest for each benchmark item."""
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+LLM_ORACLES["op13_ranked_lexical_search"] = r"""
+with words as (
+    select row_number() over () as doc, doc_id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from documents
+), counts as (
+    select doc, doc_id, term, count(*) as tf from words group by doc, doc_id, term
+), lengths as (
+    select doc, cast(sum(tf) as bigint) as n from counts group by doc
+), corpus as (
+    select count(*) as docs, cast(sum(n) as bigint) as terms from lengths
+), spread as (
+    select term, count(*) as df from counts group by term
+), asked as (
+    select item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from (select row_number() over () as item, item_id, text from (select distinct item_id, text from benchmark))
+), weighed as (
+    select a.item, a.item_id, a.term, cast(floor(1000 * ln((2 * c.docs + 2) / (2 * s.df + 1))) as bigint) as w
+    from asked a join spread s on s.term = a.term cross join corpus c
+), scored as (
+    select w.item, w.item_id, t.doc, t.doc_id,
+           cast(sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (25 + (75 * l.n * c.docs) // c.terms)))) as bigint) as score
+    from weighed w join counts t on t.term = w.term join lengths l on l.doc = t.doc cross join corpus c group by all
+), ranked as (
+    select *, cast(row_number() over (partition by item order by score desc, doc_id nulls last) as integer) as rank from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
