@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 from operator import and_, or_
@@ -50,6 +50,36 @@ def keep_listed(df: DataFrame, column: str, values: Iterable | None) -> DataFram
     return df.join(F.broadcast(listed), column, "left_semi").select(*df.columns)
 
 
+def keep_all_listed(df: DataFrame, lists: Mapping[str, Iterable | None]) -> DataFrame:
+    """``keep_listed`` for several columns: rows that pass all of the lists."""
+    for column, values in lists.items():
+        df = keep_listed(df, column, values)
+    return df
+
+
+def keep_either_listed(df: DataFrame, columns: Sequence[str], values: Iterable | None) -> DataFrame:
+    """Rows of which some column holds one of the values; an empty list means no filter.
+
+    With a long list each column is looked up in the same broadcast; the list is distinct, so no row is repeated.
+    """
+    values = list(dict.fromkeys(values or ()))
+    if len(values) <= LITERAL_VALUES:
+        return where_all(df, either_one_of([F.col(c) for c in columns], values))
+    kept = df
+    for k, column in enumerate(columns):
+        kind = df.schema[column].dataType.simpleString()
+        listed = df.sparkSession.createDataFrame([(v,) for v in values], f"_listed{k} {kind}")
+        kept = kept.join(F.broadcast(listed), F.col(column) == F.col(f"_listed{k}"), "left")
+    return kept.where(any_of(F.col(f"_listed{k}").isNotNull() for k in range(len(columns)))).select(*df.columns)
+
+
+def with_flag(column: Column, codes: Iterable[int] | None, active: object = True, inactive: object = False) -> Column | None:
+    """Rows of the asked user statuses: 1 active, 0 inactive; no code means no filter, and a code that is neither matches no row."""
+    asked = list(codes or ())
+    known = [value for code, value in ((1, active), (0, inactive)) if code in asked]
+    return one_of(column, known) if known or not asked else F.lit(False)
+
+
 def either_one_of(columns: Iterable[Column], values: Iterable | None) -> Column | None:
     """Some column holds one of the values."""
     values = list(values or ())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenpath.functions import codes
-from lumenpath.functions.predicates import is_real_user, one_of, unless, where_all
+from lumenpath.functions.predicates import is_real_user, keep_all_listed, keep_listed, unless, where_all, with_flag
 from lumenpath.params import ReportParams
 from lumenpath.sources import Platform
 
@@ -15,20 +15,17 @@ def module_hierarchy(platform: Platform, params: ReportParams | None = None, vis
     """Module within track within environment, one row per (tenant, environment, module)."""
     p = params
     modules = where_all(
-        platform.modules,
+        keep_listed(platform.modules, "module_id", p and p.module_ids),
         unless(p is None or p.show_inactive_modules, F.col("is_active")),
         F.col("is_visible") if visible_only else None,
-        one_of(F.col("module_id"), p and p.module_ids),
     ).select("module_id", "track_id", "tenant_id", F.col("name").alias("module_name"), F.col("is_active").alias("module_active"))
     tracks = where_all(
-        platform.tracks,
+        keep_listed(platform.tracks, "track_id", p and p.track_ids),
         unless(p is None or p.show_inactive_tracks, F.col("is_active")),
-        one_of(F.col("track_id"), p and p.track_ids),
     ).select("track_id", "tenant_id", F.col("name").alias("track_name"), F.col("is_active").alias("track_active"))
     environments = where_all(
-        platform.environments,
+        keep_listed(platform.environments, "environment_id", p and p.environment_ids),
         unless(p is None or p.show_inactive_environments, F.col("is_available")),
-        one_of(F.col("environment_id"), p and p.environment_ids),
     ).select(
         "environment_id", "tenant_id", F.col("name").alias("environment_name"),
         F.col("is_available").alias("environment_active"),
@@ -48,10 +45,8 @@ def hierarchy(platform: Platform, params: ReportParams | None = None) -> DataFra
     """
     p = params
     activities = where_all(
-        platform.activities,
+        keep_all_listed(platform.activities, {"activity_id": p and p.activity_ids, "type_id": p and p.activity_types}),
         unless(p is None or p.show_inactive_activities, F.col("is_active")),
-        one_of(F.col("activity_id"), p and p.activity_ids),
-        one_of(F.col("type_id"), p and p.activity_types),
     ).select(
         "activity_id", "tenant_id", F.col("type_id").alias("activity_type_id"), F.col("title").alias("activity_name"),
         "statement", F.col("workload_minutes").alias("activity_workload"), F.col("is_active").alias("activity_active"),
@@ -74,10 +69,8 @@ def module_roles(platform: Platform, role_ids: tuple[int, ...] = codes.PLAYING_R
 def real_users(platform: Platform, params: ReportParams | None = None) -> DataFrame:
     """Users who are neither built-in nor deleted, narrowed by the id and status filters."""
     p = params
-    flags = [flag == 1 for flag in p.user_flags] if p else []
-    return where_all(
-        platform.users, is_real_user(), one_of(F.col("is_active"), flags), one_of(F.col("user_id"), p and p.user_ids)
-    )
+    users = keep_listed(platform.users, "user_id", p and p.user_ids)
+    return where_all(users, is_real_user(), with_flag(F.col("is_active"), p and p.user_flags))
 
 
 def user_plan(platform: Platform, content: DataFrame, role_ids: tuple[int, ...] = codes.PLAYING_ROLES) -> DataFrame:

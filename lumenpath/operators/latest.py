@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lumenpath.functions import codes
 from lumenpath.functions.predicates import either_one_of, where_all
+from lumenpath.operators.sizes import BROADCAST_BYTES, measured_bytes
 from lumenpath.sources import Platform
 
 
@@ -66,30 +67,38 @@ def first_group(platform: Platform, per_environment: bool = True, group_ids: tup
 
     Groups with an active parent come first, then the lowest group id.  With ``group_ids`` only groups that are
     listed, or whose active parent is, can be chosen.
+
+    Memberships travel once, as bare ids by user; what a group stands for in each environment is folded into one small row per
+    group and unfolds only behind that exchange, where the least id with and without a parent is taken.  Names come last.
     """
     groups = platform.groups.where("is_active")
-    child = groups.select(
-        "group_id", "tenant_id", F.col("name").alias("child_group_name"), F.col("parent_group_id").alias("_parent_id")
-    )
-    parent = groups.select(
-        F.col("group_id").alias("parent_group_id"), "tenant_id", F.col("name").alias("parent_group_name")
-    )
-    named = child.join(
-        parent.withColumnRenamed("tenant_id", "_tenant"),
-        (F.col("_parent_id") == F.col("parent_group_id")) & (F.col("tenant_id") == F.col("_tenant")),
-        "left",
-    ).drop("_parent_id", "_tenant")
+    parent = groups.select(F.col("group_id").alias("parent_group_id"), "tenant_id", F.col("name").alias("parent_group_name"))
+    named = groups.select(
+        "group_id", "tenant_id", F.col("name").alias("child_group_name"), "parent_group_id"
+    ).join(parent.withColumn("_found", F.lit(True)), ["parent_group_id", "tenant_id"], "left")
+    named = named.withColumn("parent_group_id", F.when(F.col("_found"), F.col("parent_group_id"))).drop("_found")
     named = where_all(named, either_one_of([F.col("group_id"), F.col("parent_group_id")], group_ids))
 
-    attached = platform.environment_groups.select("environment_id", "group_id", "tenant_id")
+    attached = platform.environment_groups.groupBy("group_id", "tenant_id").agg(F.collect_set("environment_id").alias("environments"))
     if not per_environment:
-        attached = attached.drop("environment_id").distinct()
-    keys = ["user_id", "tenant_id"] + (["environment_id"] if per_environment else [])
-    candidates = (
-        platform.group_members.select("user_id", "group_id", "tenant_id")
-        .join(named.join(attached, ["group_id", "tenant_id"]), ["group_id", "tenant_id"])
-    )
-    order = [F.col("parent_group_id").isNull(), F.col("group_id")]
-    return first_per_key(candidates, keys, order).select(
+        attached = attached.drop("environments")
+    named = named.join(attached, ["group_id", "tenant_id"])
+    small = measured_bytes(named) <= BROADCAST_BYTES  # one measurement serves both joins
+    ids = named.withColumn("_top", F.col("parent_group_id").isNull()).drop("parent_group_id", "parent_group_name", "child_group_name")
+    names = named.drop("environments")
+    if small:
+        ids, names = F.broadcast(ids), F.broadcast(names)
+    keys = who = ["user_id", "tenant_id"]
+    members = platform.group_members.select(*who, "group_id")
+    if small:
+        members = members.repartition(*who)  # by user alone, which is how every report joins them; the fan-out stays within its task
+    members = members.join(ids, ["group_id", "tenant_id"])
+    if per_environment:
+        keys = [*who, "environment_id"]
+        members = members.withColumn("environment_id", F.explode("environments"))
+    group = F.col("group_id")
+    chosen = members.groupBy(*keys).agg(F.min(F.when(~F.col("_top"), group)).alias("_under"), F.min(F.when(F.col("_top"), group)).alias("_alone"))
+    chosen = chosen.select(*keys, F.coalesce("_under", "_alone").alias("group_id"))
+    return chosen.join(names, ["group_id", "tenant_id"]).select(
         *keys, "parent_group_id", "parent_group_name", F.col("group_id").alias("child_group_id"), "child_group_name"
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumenpath.functions import codes
@@ -199,5 +199,10 @@ def environment_link(platform: Platform, params: ReportParams) -> DataFrame:
     best = first_per_key(placed, HOME, [F.col("role_id"), F.col("created_at"), F.col("module_id")])
     return best.select(
         *HOME, "role_id", F.col("created_at").alias("linked_at"), "origin_created",
-        F.coalesce("origin_created", "origin_updated").alias("origin"), F.coalesce("created_by", "updated_by").alias("creator"),
+        *link_origin(),
     )
+
+
+def link_origin() -> list[Column]:
+    """``origin`` and ``creator`` of a stored link."""
+    return [F.coalesce("origin_created", "origin_updated").alias("origin"), F.coalesce("created_by", "updated_by").alias("creator")]

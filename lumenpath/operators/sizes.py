@@ -9,10 +9,16 @@ BROADCAST_BYTES = 64 << 20
 
 
 def measured_bytes(side: DataFrame) -> int:
-    """Size of a frame's values: text by length, everything else at 16 bytes."""
+    """Size of a frame's values: text by length, numbers and the elements of an array of numbers at 16 bytes."""
     width = F.lit(0).cast("bigint")
     for name, kind in side.dtypes:
-        width = width + (F.coalesce(F.length(F.col(f"`{name}`")), F.lit(0)) * 2 if kind == "string" else F.lit(16))
+        value = F.col(f"`{name}`")
+        if kind == "string":
+            width = width + F.coalesce(F.length(value), F.lit(0)) * 2
+        elif kind.startswith("array"):
+            width = width + (F.greatest(F.size(value), F.lit(0)) + 1) * 16
+        else:
+            width = width + F.lit(16)
     return side.agg(F.sum(width).alias("bytes")).first().bytes or 0
 
 

@@ -10,10 +10,10 @@ from lumenpath.functions.exprs import blank_when, day, day_second, percent_text,
 from lumenpath.functions.predicates import either_one_of, has_window, in_window, one_of, where_all
 from lumenpath.operators.access import all_groups
 from lumenpath.operators.attributes import with_attribute_columns
-from lumenpath.operators.content import real_users
+from lumenpath.operators.content import module_roles, real_users
 from lumenpath.operators.latest import first_group
 from lumenpath.operators.progress import (
-    HOME, environment_link, environment_rollup, environment_track_plan, fully_exempt, progress_totals, track_summary,
+    HOME, environment_link, environment_rollup, environment_track_plan, fully_exempt, link_origin, progress_totals, track_summary,
 )
 from lumenpath.operators.provenance import with_provenance
 from lumenpath.operators.status import environment_status
@@ -78,7 +78,8 @@ def environment_report(
     names = platform.environments.select("environment_id", "tenant_id", F.col("name").alias("environment_name"))
     rows = facts.join(first_group(platform, group_ids=params.group_ids), HOME, "left")
     rows = where_all(rows, either_one_of([F.col("child_group_id"), F.col("parent_group_id")], params.group_ids))
-    rows = with_provenance(platform, rows.join(environment_link(platform, params), HOME), "origin", "creator")
+    held = module_roles(platform, params.role_ids).select("tenant_id", *link_origin())
+    rows = with_provenance(platform, rows.join(environment_link(platform, params), HOME), "origin", "creator", held)
     rows = (
         rows.join(names, ["environment_id", "tenant_id"])
         .join(users, who)

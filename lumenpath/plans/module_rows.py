@@ -141,7 +141,8 @@ def module_status_rows(
     who = ["user_id", "tenant_id"]
     users = platform.users.select(*who, "full_name", "email", "login")
     groups = all_groups(platform, group_ids=params.group_ids)
-    rows = with_provenance(platform, facts, "origin_created", "created_by").join(users, who).join(groups, who, "left")
+    held = module_roles(platform).select("tenant_id", "origin_created", "created_by")
+    rows = with_provenance(platform, facts, "origin_created", "created_by", held).join(users, who).join(groups, who, "left")
     status = F.col("module_status")
     graded = status.isin(*GRADED)
     zero = F.lit(0).cast("decimal(10,2)")

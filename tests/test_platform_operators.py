@@ -103,6 +103,37 @@ def test_provenance(p):
     assert got[(2, "t1", 300)] == "Admin" and got[(5, "t1", 300)] == "Managers" and got[(9, "t1", 300)] is None
 
 
+def test_provenance_without_a_broadcast(p, monkeypatch):
+    links = content.module_roles(p).select("user_id", "tenant_id", "module_id", "origin_created", "created_by")
+    names = lambda: sorted(provenance.with_provenance(p, links, "origin_created", "created_by").collect(), key=str)
+    small = names()
+    monkeypatch.setattr(provenance, "BROADCAST_BYTES", -1)
+    assert names() == small
+    keys = provenance.creator_names(p, links, "origin_created", "created_by")
+    assert keys.count() == keys.select("_origin", "_key", "tenant_id").distinct().count()
+
+
+def test_first_group_without_a_broadcast(p, monkeypatch):
+    for wanted in ({}, {"per_environment": False}, {"group_ids": (10,)}):
+        small = sorted(latest.first_group(p, **wanted).collect(), key=str)
+        with monkeypatch.context() as patch:
+            patch.setattr(latest, "BROADCAST_BYTES", -1)
+            assert sorted(latest.first_group(p, **wanted).collect(), key=str) == small
+
+
+def test_user_status_codes_and_long_lists(p, monkeypatch):
+    from lumenpath.functions import predicates
+
+    users = p.users
+    count = lambda codes: users.where(F.lit(True) if (c := predicates.with_flag(F.col("is_active"), codes)) is None else c).count()
+    assert count((7,)) == 0 and count((1, 0)) == count(()) == count((0, 9)) + count((1,)) and count((0, 9)) == count((0,))
+    groups = p.groups
+    short = sorted(predicates.keep_either_listed(groups, ["group_id", "parent_group_id"], (10, 11, 10)).collect(), key=str)
+    monkeypatch.setattr(predicates, "LITERAL_VALUES", 1)
+    assert sorted(predicates.keep_either_listed(groups, ["group_id", "parent_group_id"], (10, 11, 10)).collect(), key=str) == short and short
+    assert predicates.keep_all_listed(groups, {"group_id": (10, 11), "tenant_id": ("t1", "t9")}).count() == groups.where("group_id in (10, 11) and tenant_id = 't1'").count()
+
+
 ATTEMPT = platform_fixture.TABLES["attempts"][0]
 
 

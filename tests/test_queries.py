@@ -73,3 +73,20 @@ def test_gold_grain_and_isolation(spark):
     users = standin(spark, SF_DIR).users
     assert gold.join(users, ["user_id", "tenant_id"], "left_anti").count() == 0
     assert gold.where("activity_status = 'exempted' and (attempt_id <> '' or answered_at is not null or access_time <> '')").count() == 0
+
+
+def test_memberships_travel_once_and_without_environments(spark):
+    text = plan(QUERIES["first_group"](spark, SF_DIR))
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", text)
+    assert not [d for d in dealt if "environment_id" in d] and len({d for d in dealt if "user_id" in d}) == 1
+    assert "Window" not in text
+
+
+def test_only_creators_of_links_are_looked_up(spark):
+    text = plan(QUERIES["provenance_names"](spark, SF_DIR))
+    assert "/users" not in text and "Union" not in text and "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_long_lists_become_semi_joins(spark):
+    text = plan(QUERIES["activity_of_listed_modules"](spark, SF_DIR))
+    assert "LeftSemi" in text and not re.search(r"module_id#\w+ IN|module_id#\w+ INSET", text)

@@ -655,6 +655,16 @@ _CHECKS: dict[str, str] = {
         select 'none' as roles, count(*) as n from {x_gold} where environment_active and track_active and module_active and activity_active
         union all select 'unknown', 0
         union all select 'one known', count(*) from {x_gold} where environment_active and track_active and module_active and activity_active and role_label = 'Obrigatório'""",
+    "activity_status_filters": """
+        select 'none' as statuses, count(*) as n from {x_gold} where environment_active and track_active and module_active and activity_active
+        union all select 'unknown', 0
+        union all select 'one known', count(*) from {x_gold} where environment_active and track_active and module_active and activity_active and user_status = 'Inativo'
+        union all select 'both', count(*) from {x_gold} where environment_active and track_active and module_active and activity_active""",
+    "activity_of_listed_modules": """
+        select tenant_id, module_id, child_group_id, parent_group_id, count(*) as n from {x_gold}
+        where environment_active and track_active and activity_active and module_id between 17984 and 19983
+          and (child_group_id between 104 and 1203 or parent_group_id between 104 and 1203)
+        group by all""",
     "first_group": "select * from {x_first_group}",
     "first_group_any_environment": "select * from {x_any_group}",
     "all_groups": "select * from {x_all_groups}",

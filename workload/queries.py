@@ -251,6 +251,23 @@ def activity_role_filters(p: Platform) -> DataFrame:
     return frames[0].union(frames[1]).union(frames[2])
 
 
+@query
+def activity_status_filters(p: Platform) -> DataFrame:
+    """Gold rows of no user status, of one nobody knows, of that one beside inactive users, and of both known ones."""
+    frames = [
+        activity.filter_gold(p.gold, params(user_flags=flags)).agg(F.count("*").alias("n")).select(F.lit(name).alias("statuses"), "n")
+        for name, flags in (("none", ()), ("unknown", (7,)), ("one known", (7, 0)), ("both", (1, 0)))
+    ]
+    return frames[0].union(frames[1]).union(frames[2]).union(frames[3])
+
+
+@query
+def activity_of_listed_modules(p: Platform) -> DataFrame:
+    """Gold rows of 2,000 listed modules, of which the tables have some, and of 1,100 listed groups."""
+    chosen = params(module_ids=tuple(range(17984, 19984)), group_ids=tuple(range(104, 1204)), show_inactive_modules=True)
+    return activity.filter_gold(p.gold, chosen).groupBy("tenant_id", "module_id", "child_group_id", "parent_group_id").agg(F.count("*").alias("n"))
+
+
 @query
 def activity_report_filtered(p: Platform) -> DataFrame:
     chosen = params(
