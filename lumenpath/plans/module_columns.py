@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lumenpath.functions import codes
 from lumenpath.functions.exprs import day_second, decimal_comma, first_chars, instant, money
 from lumenpath.functions.predicates import one_of, where_all
-from lumenpath.operators.access import all_groups, visible_to
+from lumenpath.operators.access import all_groups
 from lumenpath.operators.attributes import unique_headers, with_attribute_columns
 from lumenpath.operators.content import module_hierarchy, module_roles, real_users
 from lumenpath.operators.latest import first_group, latest_attempt
@@ -159,31 +159,52 @@ def module_headers(labels: DataFrame) -> list[tuple[int, str, str]]:
     return [(row.module_id, row.header, header) for row, header in zip(rows, fresh)]
 
 
+def _by_environment(rows: DataFrame, value: str) -> DataFrame:
+    """A map from environment to value for each user: joined by user it needs no other dealing than the facts have."""
+    pairs = F.map_from_entries(F.collect_list(F.struct("environment_id", value)))
+    return rows.where(F.col(value).isNotNull()).groupBy("user_id", "tenant_id").agg(pairs.alias(f"_{value}"))
+
+
+def reported_facts(platform: Platform, params: ReportParams, admins: DataFrame | None = None) -> DataFrame:
+    """The facts of the environments that the status filter leaves, with ``environment_status``.
+
+    They are worked out once, dealt by user, and read three times: for the status, the columns and the cells.
+    """
+    who = ("user_id", "tenant_id")
+    facts = Stage(platform.users.sparkSession, "module_columns").keep("facts", lambda: module_column_facts(platform, params, admins), bucket_by=who)
+    totals = where_all(environment_totals(facts, params), one_of(F.col("environment_status"), params.statuses))
+    status = F.element_at("_environment_status", F.col("environment_id"))
+    found = facts.join(_by_environment(totals, "environment_status"), [*who]).withColumn("environment_status", status).drop("_environment_status")
+    return found.where(F.col("environment_status").isNotNull())
+
+
+def reported_labels(platform: Platform, params: ReportParams, facts: DataFrame) -> DataFrame:
+    """``module_labels`` of the modules that some reported row has."""
+    labels = module_labels(platform.for_tenant(params.tenant_id), params, facts.select("environment_id", "tenant_id").distinct())
+    return labels.join(facts.select("module_id", "tenant_id").distinct(), ["module_id", "tenant_id"], "left_semi")
+
+
 def module_status_columns(platform: Platform, params: ReportParams, admins: DataFrame | None = None) -> DataFrame:
     """The wide module report.
 
-    The pivot groups ids only; names, groups, scores and attributes are joined to the pivoted rows.
+    The pivot groups ids only; names, groups, scores and attributes are joined to the pivoted rows by user.
     """
-    # Cells and totals both start from the facts: they are worked out once and read twice.
-    facts = Stage(platform.users.sparkSession, "module_columns").keep("facts", lambda: module_column_facts(platform, params, admins))
+    facts = reported_facts(platform, params, admins)
     platform = platform.for_tenant(params.tenant_id)
-    seen = visible_to(platform, admins_for(platform, params, admins), codes.ENVIRONMENT, "environment_id")
-    labels = module_labels(platform, params, seen)
+    labels = Stage(platform.users.sparkSession, "module_columns").keep("labels", lambda: reported_labels(platform, params, facts))
     who = ["user_id", "tenant_id"]
-    totals = where_all(environment_totals(facts, params), one_of(F.col("environment_status"), params.statuses))
     headers = module_headers(labels)
     groups = ["parent_group_id", "parent_group_name", "child_group_id", "child_group_name"]
-    keys = [*HOME, "environment_name", "role_id", "is_active", *groups]
+    keys = [*HOME, "environment_name", "environment_status", "role_id", "is_active", *groups]
     column = F.concat(F.col("module_id").cast("string"), F.lit(":"), F.col("header")).alias("column")
     cells = facts.join(broadcast_if_small(labels.select("module_id", "tenant_id", "header")), ["module_id", "tenant_id"]).select(*keys, column, "cell")
     wide = cells.groupBy(*keys).pivot("column", [f"{module}:{label}" for module, label, _ in headers]).agg(F.max("cell"))
     wide = wide.toDF(*keys, *[header for *_, header in headers])
-    scores = platform.environment_scores.where("ranking_id = 0").select(*HOME, "score")
+    scores = _by_environment(platform.environment_scores.where("ranking_id = 0").groupBy(*HOME).agg(F.max("score").alias("score")), "score")
     users = platform.users.select(*who, "full_name", "email", "login")
     rows = (
-        wide.join(totals.select(*HOME, "environment_status"), HOME)
-        .join(scores, HOME, "left")
-        .join(users, who)
+        wide.join(users, who)
+        .join(scores, who, "left").withColumn("score", F.element_at("_score", F.col("environment_id"))).drop("_score")
         .join(all_groups(platform, group_ids=params.group_ids), who, "inner" if params.group_ids else "left")
     )
     finished = F.col("environment_status") == "finished"

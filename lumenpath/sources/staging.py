@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_TABLES: dict[str, list[str]] = {}
 _LOCK = threading.RLock()
 
 
@@ -30,24 +31,40 @@ def shared_folder(spark: SparkSession) -> str:
 
 def close(spark: SparkSession) -> None:
     """Removes everything this application has staged; frames that read it cannot be used any more."""
+    for table in _TABLES.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"drop table if exists {table}")
     folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 class Stage:
-    """Writes a frame under a name the first time it is asked for, and reads it from then on."""
+    """Writes a frame under a name the first time it is asked for, and reads it from then on.
+
+    With ``bucket_by`` the rows are dealt once by these columns, and joins and groupings by them need no further exchange.
+    Only the session's catalog knows about buckets, so such a frame is a table there, with its files in the shared folder.
+    """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self._root = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:8]}"
         self._written: dict[str, DataFrame] = {}
 
-    def keep(self, name: str, build, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def keep(self, name: str, build, partition_by: tuple[str, ...] = (), bucket_by: tuple[str, ...] = ()) -> DataFrame:
         with _LOCK:
-            if name not in self._written:
+            if name not in self._written and bucket_by:
+                self._written[name] = self._bucketed(build(), f"{self._root}/{name}", bucket_by)
+            elif name not in self._written:
                 frame, path = build(), f"{self._root}/{name}"
                 writer = frame.write.mode("errorifexists")
                 (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
                 self._written[name] = self.spark.read.schema(frame.schema).parquet(path)
             return self._written[name]
+
+    def _bucketed(self, frame: DataFrame, path: str, keys: tuple[str, ...]) -> DataFrame:
+        table, buckets = f"lumenpath_staged_{uuid.uuid4().hex}", int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        # The same hash deals rows to tasks and to buckets: each task writes one file.
+        writer = frame.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+        writer.option("path", path).saveAsTable(table)
+        _TABLES.setdefault(self.spark.sparkContext.applicationId, []).append(table)
+        return self.spark.table(table)

@@ -47,3 +47,21 @@ def test_access_is_one_row_an_entity(spark):
     platform = platform_fixture.build(spark, profile_users=("profile_id bigint, user_id bigint, tenant_id string", [(1, 9, "t1")]))
     seen = access.visible_to(platform, access.admin_frame(spark, 9, "t1"), "CP", "environment_id")
     assert seen.count() == seen.distinct().count()
+
+
+def test_modules_without_a_reported_row_get_no_column(spark):
+    from lumenpath.operators import content
+
+    platform = platform_fixture.build(spark)
+    held = {r.module_id for r in content.module_roles(platform).where("tenant_id = 't1'").select("module_id").distinct().collect()}
+    everybody = report(spark, "t1")
+    nobody = report(spark, "t1", roles=(platform_fixture.TABLES["roles"][0], [row for row in platform_fixture.TABLES["roles"][1] if row[1] != 301]))
+    assert 301 in held and any("Now" in c for c in everybody.columns) and not any("Now" in c for c in nobody.columns)
+
+
+def test_facts_are_dealt_by_user_once(spark):
+    import re
+
+    text = report(spark, "t1")._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", text)
+    assert "Bucketed: true" in text and not [d for d in dealt if "user_id" in d and "environment_id" in d and "module" not in d and "score" in d]

@@ -758,6 +758,11 @@ _CHECKS: dict[str, str] = {
         join {{users}} u on u.user_id = w.user_id and u.tenant_id = w.tenant_id
         left join {{environment_scores}} s on s.user_id = w.user_id and s.tenant_id = w.tenant_id and s.environment_id = w.environment_id and s.ranking_id = 0
         left join {{x_all_groups}} ag on ag.user_id = w.user_id and ag.tenant_id = w.tenant_id {attributes_of("w")}""",
+    "module_columns_of_few_users": """
+        select distinct c.tenant_id, c.module_id,
+               cast(c.module_id % 10 as varchar) || '.Track ' || cast(c.module_id // 10 as varchar) || ' - Module ' || cast(c.module_id % 10 as varchar) || ' of ' || cast(c.module_id // 10 as varchar) as header
+        from {x_cells} c join {x_environment_totals} t on t.user_id = c.user_id and t.tenant_id = c.tenant_id and t.environment_id = c.environment_id
+        where c.user_id % 150 = 1 and c.user_id < 1500 and t.environment_status in ('in_progress', 'expired', 'finished')""",
     "module_column_cells": f"""
         select user_id, tenant_id, environment_id, module_id, module_index,
                cast(module_index as varchar) || '.' || substring(track_name || ' - ' || module_name, 1, 124) as module_label,
