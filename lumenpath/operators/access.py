@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumenpath.functions import codes
 from lumenpath.functions.exprs import join_sorted
-from lumenpath.functions.predicates import one_of, where_all
+from lumenpath.functions.predicates import keep_listed
 from lumenpath.operators.latest import first_per_key
 from lumenpath.operators.sizes import BROADCAST_BYTES, measured_bytes
 from lumenpath.sources import Platform
@@ -142,6 +142,25 @@ def visible_to(platform: Platform, admins: DataFrame, entity_type: str, key: str
     return editable_entities(platform, admins, entity_type).select(F.col("entity_id").alias(key), "tenant_id")
 
 
+def _placed_members(platform: Platform, users: DataFrame | None = None, group_ids: Iterable[int] = ()) -> DataFrame:
+    """Memberships in active groups with what the groups are listed by: hops, depth, parent and id."""
+    place = platform.group_tree.groupBy("group_id", "tenant_id").agg(
+        F.min("hops").alias("hops"), F.count("*").alias("depth")
+    )
+    groups = platform.groups.where("is_active").select("group_id", "tenant_id", "name", "parent_group_id")
+    placed = groups.join(place, ["group_id", "tenant_id"], "left").withColumn("depth", F.coalesce("depth", F.lit(0).cast("bigint")))
+    members = keep_listed(platform.group_members.select("user_id", "group_id", "tenant_id"), "group_id", group_ids).distinct()
+    if users is not None:
+        members = members.join(users.select("user_id", "tenant_id"), ["user_id", "tenant_id"], "left_semi")
+    return members.join(placed, ["group_id", "tenant_id"])
+
+
+def group_places(platform: Platform) -> DataFrame:
+    """``(user_id, tenant_id, places)``: a user's active groups as an array in the order of ``all_groups``."""
+    places = F.array_sort(F.collect_list(F.struct("hops", "depth", "parent_group_id", "group_id", "name")))
+    return _placed_members(platform).groupBy("user_id", "tenant_id").agg(places.alias("places"))
+
+
 def all_groups(platform: Platform, users: DataFrame | None = None, group_ids: Iterable[int] = ()) -> DataFrame:
     """Names of a user's active groups in one text, nearest to the root first.
 
@@ -149,17 +168,5 @@ def all_groups(platform: Platform, users: DataFrame | None = None, group_ids: It
     in those groups, so users in none of them have no row.  Hops and depth belong to the group, so
     they are worked out once per group and not once per member.
     """
-    place = platform.group_tree.groupBy("group_id", "tenant_id").agg(
-        F.min("hops").alias("hops"), F.count("*").alias("depth")
-    )
-    groups = platform.groups.where("is_active").select("group_id", "tenant_id", "name", "parent_group_id")
-    placed = groups.join(place, ["group_id", "tenant_id"], "left")
-    members = where_all(
-        platform.group_members.select("user_id", "group_id", "tenant_id"), one_of(F.col("group_id"), group_ids)
-    ).distinct()
-    if users is not None:
-        members = members.join(users.select("user_id", "tenant_id"), ["user_id", "tenant_id"], "left_semi")
-    order = ["hops", F.coalesce("depth", F.lit(0)).alias("depth"), "parent_group_id", "group_id"]
-    return members.join(placed, ["group_id", "tenant_id"]).groupBy("user_id", "tenant_id").agg(
-        join_sorted(order, "name").alias("all_groups")
-    )
+    names = join_sorted(["hops", "depth", "parent_group_id", "group_id"], "name").alias("all_groups")
+    return _placed_members(platform, users, group_ids).groupBy("user_id", "tenant_id").agg(names)

@@ -62,18 +62,35 @@ def user_attributes(platform: Platform, users: DataFrame | None = None) -> DataF
     )
 
 
-def attribute_names(platform: Platform) -> list[str]:
-    """Names of the active attributes without tenant prefix, by attribute id.
+#: Attribute columns of one report.  Spark plans one expression for each; a wider report has to be narrowed by tenant.
+MOST_COLUMNS = 2_000
 
-    Column headers have to be known while the plan is built, so this reads the attribute
-    definitions (metadata, one short row per attribute) on the driver.
-    """
-    rows = (
+
+class TooManyColumns(ValueError):
+    """The tenants of a report have more attributes than it can have columns."""
+
+
+def tenant_attribute_names(platform: Platform) -> DataFrame:
+    """``(tenant_id, attribute, first_id)``: each tenant's active attributes without tenant prefix, with the least id of that name."""
+    return (
         platform.attributes.where("is_active")
-        .select("attribute_id", without_prefix(F.col("name"), F.col("tenant_id")).alias("attribute"))
-        .groupBy("attribute").agg(F.min("attribute_id").alias("first_id"))
-        .orderBy("first_id", "attribute").collect()
+        .select("attribute_id", "tenant_id", without_prefix(F.col("name"), F.col("tenant_id")).alias("attribute"))
+        .groupBy("tenant_id", "attribute").agg(F.min("attribute_id").alias("first_id"))
     )
+
+
+def attribute_names(platform: Platform, tenants: DataFrame | None = None) -> list[str]:
+    """Names of the attributes of ``tenants`` (``tenant_id``; all of the platform unless given), by attribute id.
+
+    Column headers have to be known while the plan is built, so the names are read on the driver: one short row for each column,
+    and an error beyond ``MOST_COLUMNS``, whatever number of tenants there are.
+    """
+    names = tenant_attribute_names(platform)
+    if tenants is not None:
+        names = names.join(tenants.select("tenant_id").distinct(), "tenant_id", "left_semi")
+    rows = names.groupBy("attribute").agg(F.min("first_id").alias("first_id")).orderBy("first_id", "attribute").limit(MOST_COLUMNS + 1).collect()
+    if len(rows) > MOST_COLUMNS:
+        raise TooManyColumns(f"the report's tenants have more than {MOST_COLUMNS} attributes; narrow it by tenant")
     return [row.attribute for row in rows]
 
 
@@ -102,11 +119,17 @@ def pivot_attributes(attributes: DataFrame, names: Sequence[str], headers: Seque
     return wide.toDF("user_id", "tenant_id", *(headers or names))
 
 
-def with_attribute_columns(platform: Platform, report: DataFrame) -> DataFrame:
-    """Report rows (keyed by user and tenant) with the tenant's attributes appended as columns."""
-    names = attribute_names(platform)
+def with_attribute_columns(platform: Platform, report: DataFrame, tenants: DataFrame | None = None) -> DataFrame:
+    """Report rows (keyed by user and tenant) with the attributes of the report's tenants appended as columns.
+
+    ``tenants`` are those the report is made for, such as its administrators'; other tenants' attributes get no column.
+    """
+    names = attribute_names(platform, tenants)
     if not names:
         return report
     headers = unique_headers(names, report.columns)
-    wide = pivot_attributes(user_attributes(platform), names, headers)
+    values = user_attributes(platform)
+    if tenants is not None:
+        values = values.join(F.broadcast(tenants.select("tenant_id").distinct()), "tenant_id", "left_semi")
+    wide = pivot_attributes(values, names, headers)
     return report.join(wide, ["user_id", "tenant_id"], "left")

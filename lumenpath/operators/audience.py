@@ -6,7 +6,7 @@ from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenpath.functions import codes
@@ -234,40 +234,48 @@ STATUS = "userStatus"
 def audience(platform: Platform, include: Sequence[Criterion], exclude: Sequence[Criterion] = ()) -> DataFrame:
     """``(user_id, tenant_id)`` of the audience.  No criteria, no audience.
 
-    A user meets all criteria when the bits of the met ones cover the tenant's mask.  ``bit_or`` is
-    combined on the map side, so one shuffle replaces a distinct count.  Inactive users can meet the
-    status criterion only, and be excepted by it only.
+    Every criterion, included or excluded, has a bit, and one aggregation gives each user the bits of those met.  A user belongs to the
+    audience when they cover the tenant's mask and hold no excluded bit.  ``bit_or`` is combined on the map side, so one narrow shuffle
+    replaces a distinct count and an anti-join for each exception.  Inactive users can meet the status criterion only, and be
+    excepted by it only.
     """
-    found = matches(platform, [c for c in include if c.kind != "user"])
-    if not found:
+    included, excluded = matches(platform, [c for c in include if c.kind != "user"]), matches(platform, exclude)
+    if not included:
         return platform.users.select(*WHO).where(F.lit(False))
-    slots = {key: divmod(place, WORD_BITS) for place, (key, _) in enumerate(found)}
+    slots = {(side, key): divmod(place, WORD_BITS) for place, (side, key) in enumerate([(True, k) for k, _ in included] + [(False, k) for k, _ in excluded])}
     union = None
-    for key, users in found:
-        word, bit = slots[key]
-        marked = users.select(*WHO, F.lit(word).alias("word"), F.lit(1 << bit).cast("bigint").alias("bits"))
-        union = marked if union is None else union.unionByName(marked)
+    for side, found in ((True, included), (False, excluded)):
+        for key, users in found:
+            word, bit = slots[side, key]
+            marked = users.select(*WHO, F.lit(word).alias("word"), F.lit(1 << bit).cast("bigint").alias("bits"))
+            union = marked if union is None else union.unionByName(marked)
     words = range(1 + max(word for word, _ in slots.values()))
-    met = union.groupBy(*WHO).agg(*[F.bit_or(F.when(F.col("word") == w, F.col("bits"))).alias(f"bits{w}") for w in words])
-    people = platform.users.where(is_real_user()).select(*WHO, "is_active")
-    met = _of_tenants(met, include).join(people, WHO)
+    met = _of_tenants(union, include).groupBy(*WHO).agg(
+        *[F.coalesce(F.bit_or(F.when(F.col("word") == w, F.col("bits"))), F.lit(0).cast("bigint")).alias(f"bits{w}") for w in words]
+    )
+
+    def masks(wanted: list[tuple[bool, str]]) -> dict[int, int]:
+        found: dict[int, int] = {}
+        for word, bit in (slots[slot] for slot in wanted):
+            found[word] = found.get(word, 0) | 1 << bit
+        return found
+
+    def bits(word: int, mask: int) -> Column:
+        return F.col(f"bits{word}").bitwiseAND(F.lit(mask).cast("bigint"))
 
     def covers(tenant: str) -> Column:
-        masks = {w: 0 for w in words}
-        for key in {c.key for c in include if c.tenant_id == tenant and c.kind != "user"}:
-            masks[slots[key][0]] |= 1 << slots[key][1]
-        status = {slots[STATUS][0]: 1 << slots[STATUS][1]} if STATUS in slots else {}
-        whole = [F.col(f"bits{w}").bitwiseAND(F.lit(mask).cast("bigint")) == mask for w, mask in masks.items() if mask]
-        only_status = all(mask & ~status.get(w, 0) == 0 for w, mask in masks.items())
-        return all_of([F.col("tenant_id") == tenant, *whole] + ([] if only_status else [F.col("is_active")]))
+        keys = {c.key for c in include if c.tenant_id == tenant and c.kind != "user"}
+        whole = [bits(w, mask) == mask for w, mask in masks([(True, key) for key in keys]).items()]
+        return all_of([F.col("tenant_id") == tenant, *whole] + ([] if keys <= {STATUS} else [F.col("is_active")]))
+
+    def excepted(keys: list[str]) -> Column:
+        return any_of([bits(w, mask) != 0 for w, mask in masks([(False, key) for key in keys]).items()] or [F.lit(False)])
 
+    people = platform.users.where(is_real_user()).select(*WHO, "is_active")
     tenants = sorted({c.tenant_id for c in include if c.kind != "user"})
-    qualified = met.where(any_of(covers(t) for t in tenants)).select(*WHO, "is_active")
-    for key, users in matches(platform, exclude):
-        excepted = users.select(F.col("user_id").alias("_user"), F.col("tenant_id").alias("_tenant"))
-        same = (F.col("user_id") == F.col("_user")) & (F.col("tenant_id") == F.col("_tenant"))
-        qualified = qualified.join(excepted, same if key == STATUS else same & F.col("is_active"), "left_anti")
-    return qualified.select(*WHO)
+    status, others = ([key for key, _ in excluded if (key == STATUS) is same] for same in (True, False))
+    out = excepted(status) | (F.col("is_active") & excepted(others))
+    return met.join(people, WHO).where(any_of(covers(t) for t in tenants) & ~out).select(*WHO)
 
 
 def audience_users(
@@ -290,9 +298,28 @@ def audience_users(
     members = where_all(members, mentions([F.col(c) for c in ("name", "login", "email", "user_id")], search))
     if skip and take is None:
         raise ValueError("skip needs take: an open-ended page would pass through one task")
-    members = Stage(platform.users.sparkSession, "audience").keep("members", lambda found=members: found)
-    total = members.agg(F.count("*")).scalar()
-    page = members.orderBy("name", "tenant_id", "user_id")
-    if take is not None:
-        page = page.offset(skip).limit(take)
-    return page.withColumn("total_users", total)
+    return page_of(members, ["name", "tenant_id", "user_id"], skip, take, "total_users")
+
+
+def page_of(rows: DataFrame, order: Sequence[str], skip: int, take: int | None, total: str) -> DataFrame:
+    """Rows ``skip`` to ``skip + take`` in an order that tells all rows apart, with the number of all rows beside each.
+
+    The rows are written once in ranges of the order, and counted by range: one number for each comes to the driver.  A page,
+    however deep, then reads the ranges it lies in and nothing else; without ``take`` all of them.
+    """
+    stage = Stage(rows.sparkSession, "page")
+    ranges = rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    written = stage.keep("rows", lambda: ranges, partition_by=("_range",))
+    counts = sorted(tuple(row) for row in written.groupBy("_range").count().collect())
+    size = sum(n for _, n in counts)
+    before, first = 0, {}
+    for number, n in counts:
+        if before + n > skip and (take is None or before < skip + take):
+            first[number] = before
+        before += n
+    page = written.where(F.col("_range").isin(list(first)) if first else F.lit(False))
+    if take is not None and first:
+        starts = F.create_map(*[F.lit(x) for pair in first.items() for x in pair])
+        place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) + F.element_at(starts, F.col("_range"))
+        page = page.withColumn("_place", place).where((F.col("_place") > skip) & (F.col("_place") <= skip + take)).drop("_place")
+    return page.orderBy(*order).drop("_range").withColumn(total, F.lit(size).cast("bigint"))

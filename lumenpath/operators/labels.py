@@ -7,22 +7,42 @@ from pyspark.sql import functions as F
 
 from lumenpath.functions import codes
 from lumenpath.operators.latest import first_per_key
+from lumenpath.operators.sizes import BROADCAST_BYTES, measured_bytes
 from lumenpath.sources import Platform
 
 
-def label_text(platform: Platform, wanted: DataFrame, language: str) -> DataFrame:
-    """Best text of every wanted ``(label_id, tenant_id)``.
+def for_each(scope: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Every row of ``scope`` with every row of a catalogue: a broadcast, whose size is measured, beside which the scope stays in place."""
+    if measured_bytes(catalogue) > BROADCAST_BYTES:
+        raise ValueError("the catalogue is too large to be repeated for every row; narrow it first")
+    return scope.join(F.broadcast(catalogue))
 
-    The exact language wins, then a language that starts with it, then any other in alphabetical
-    order; a tenant's own text replaces the shared one in the same language.
-    """
+
+def _texts(platform: Platform, wanted: DataFrame) -> DataFrame:
+    """The text of every wanted ``(label_id, tenant_id)`` in each language: the tenant's own, or else the shared one."""
     own = platform.label_overrides.select("label_id", "language_id", "tenant_id", F.col("text").alias("_own"))
-    found = (
+    return (
         wanted.select("label_id", "tenant_id").distinct()
         .join(platform.label_texts.select("label_id", "language_id", "text"), "label_id")
         .join(own, ["label_id", "language_id", "tenant_id"], "left")
         .withColumn("text", F.coalesce("_own", "text"))
     )
+
+
+def label_languages(platform: Platform, tenants: DataFrame) -> DataFrame:
+    """``(label_id, tenant_id, key, is_default, texts)``: all texts of each label for each of ``tenants``, by language."""
+    wanted = for_each(platform.labels.select("label_id"), tenants.select("tenant_id").distinct())
+    texts = _texts(platform, wanted).groupBy("label_id", "tenant_id").agg(F.array_sort(F.collect_list(F.struct("language_id", "text"))).alias("texts"))
+    return texts.join(platform.labels.select("label_id", "key", "is_default"), "label_id")
+
+
+def label_text(platform: Platform, wanted: DataFrame, language: str) -> DataFrame:
+    """Best text of every wanted ``(label_id, tenant_id)``.
+
+    The exact language wins, then a language that starts with it, then any other in alphabetical
+    order; a tenant's own text replaces the shared one in the same language.
+    """
+    found = _texts(platform, wanted)
     folded = F.lower("language_id")
     fit = F.when(folded == language.lower(), 1).when(folded.startswith(language.lower()), 2).otherwise(4)
     best = first_per_key(found, ["label_id", "tenant_id"], [fit, F.col("language_id")])
@@ -42,9 +62,7 @@ def _overlay(defaults: DataFrame, overrides: DataFrame, scope: DataFrame, scope_
         "setting_id", *scope_keys, F.col("file").alias("_file"), F.col("is_active").alias("_active"),
         F.col("is_visible").alias("_visible"), F.lit(True).alias("_found"),
     )
-    # Settings are a fixed catalogue, so they ride along as one array per scope row instead of a cross join.
-    catalogue = defaults.agg(F.collect_list(F.struct(*defaults.columns)).alias("all")).scalar()
-    each = scope.select(*scope_keys).distinct().withColumn("s", F.explode(catalogue)).select(*scope_keys, "s.*")
+    each = for_each(scope.select(*scope_keys).distinct(), defaults)
     return each.join(own, ["setting_id", *scope_keys], "left").select(
         "setting_id", *scope_keys, "description",
         F.coalesce("_file", "file").alias("file"),

@@ -113,4 +113,4 @@ def environment_report(
         codes.role_label(F.col("role_id")).alias("role_label"), day_second(F.col("linked_at")).alias("linked_at"),
         codes.origin_label(F.col("origin_created")).alias("link_origin"), "linked_by",
     )
-    return with_attribute_columns(platform, report)
+    return with_attribute_columns(platform, report, admins_for(platform, params, admins))

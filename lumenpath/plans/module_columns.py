@@ -216,4 +216,4 @@ def module_status_columns(platform: Platform, params: ReportParams, admins: Data
         "environment_status": codes.label_of(F.col("environment_status"), codes.DICTIONARIES["environment_status"]),
     })
     columns = [F.col(f"`{c}`") for c in ["tenant_id", *FIXED_COLUMNS, *[header for *_, header in headers]]]
-    return with_attribute_columns(platform, report.select(*columns))
+    return with_attribute_columns(platform, report.select(*columns), admins_for(platform, params, admins))

@@ -172,4 +172,4 @@ def module_status_rows(
         codes.origin_label(F.col("origin_created")).alias("link_origin"), "linked_by",
         "track_modules", "track_modules_done", day_minute(F.col("last_completed_at")).alias("last_completed_at"),
     )
-    return with_attribute_columns(platform, report)
+    return with_attribute_columns(platform, report, admins_for(platform, params, admins))

@@ -154,5 +154,5 @@ def track_report(platform: Platform, params: ReportParams, admins: DataFrame | N
         blank_when(F.col("attempt_type") == "default", day_minute(F.col("expires_at"))).alias("expires_at"),
         F.nullif(F.col("recertification_attempt_id"), F.lit(0)).alias("recertification_attempt_id"),
     )
-    report = with_attribute_columns(platform, report)
+    report = with_attribute_columns(platform, report, admins_for(platform, params, admins))
     return report.orderBy("full_name", "environment_id", "track_id", "tenant_id", "user_id") if sort else report

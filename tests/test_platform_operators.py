@@ -249,3 +249,48 @@ def test_page_shows_the_size_of_the_whole_audience(p):
     assert [(r.user_id, r.total_users) for r in found] == [(5, 1)]
     with pytest.raises(ValueError):
         audience.audience_users(p, include, skip=1)
+
+
+def test_table_functions_from_sql(p, spark):
+    from lumenpath.operators import table_functions
+
+    facts = "group_label string, order_number bigint, help_label string, group_order bigint, config_order bigint, config_group_order bigint, config_tab string, config_group string"
+    setting = "setting_id string, description string, file string, is_active boolean, is_visible boolean"
+    row = ("s1", "one", "f", True, True, "g", 1, "h", 1, 1, 1, "t", "c")
+    own = "setting_id string, tenant_id string, file string, is_active boolean, is_visible boolean"
+    extended = platform_fixture.build(
+        spark, settings=(f"{setting}, {facts}", [row]), environment_settings=(f"{setting}, {facts}", [row]),
+        tenant_settings=(own, [("s1", "t1", "mine", False, None)]),
+        profile_users=("profile_id bigint, user_id bigint, tenant_id string", [(1, 9, "t1")]),
+        tenant_environment_settings=(own + ", environment_id bigint", []), achievements=("achievement_id bigint, tenant_id string", []),
+    )
+    names = table_functions.register(extended)
+    assert [r["file"] for t in ("t1", "t2", "t9") for r in spark.sql(f"SELECT * FROM settings_of('{t}')").collect()] == ["mine", "f"]
+    assert all(spark.catalog.functionExists(name) for name in names)
+    one = spark.sql("SELECT * FROM all_groups_of(1, 't1', NULL)")
+    whole = {(r.user_id, r.tenant_id): r.all_groups for r in access.all_groups(p).collect()}
+    assert [r.all_groups for r in one.collect()] == [whole[1, "t1"]]
+    assert spark.sql("SELECT * FROM all_groups_of(1, 't1', array(-1L))").collect() == [] == spark.sql("SELECT * FROM all_groups_of(1, NULL, NULL)").collect()
+    best = {(r.label_id, r.tenant_id): r.text for r in labels.label_text(p, p.labels.select("label_id").join(p.users.select("tenant_id").distinct()), "pt-BR").collect()}
+    found = spark.sql("SELECT w.label_id, t.* FROM (SELECT DISTINCT label_id, tenant_id FROM rows_of_label_text_of) w, LATERAL label_text_of(w.label_id, w.tenant_id, 'pt-BR') t")
+    assert {(r[0], r.tenant_id): r.text for r in found.collect()} == best
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert "user_id" in plan and " = 1)" in plan and "= t1)" in plan
+
+
+def test_attribute_columns_are_bounded_and_of_the_tenants_asked_for(p, spark, monkeypatch):
+    from lumenpath.operators import attributes
+
+    tenants = spark.createDataFrame([("t1",)], "tenant_id string")
+    mine, all_names = attributes.attribute_names(p, tenants), attributes.attribute_names(p)
+    assert mine and set(mine) <= set(all_names)
+    assert attributes.attribute_names(p, tenants.where("false")) == []
+    monkeypatch.setattr(attributes, "MOST_COLUMNS", len(all_names) - 1)
+    with pytest.raises(attributes.TooManyColumns):
+        attributes.attribute_names(p)
+
+
+def test_a_catalogue_too_large_for_a_broadcast_is_refused(p, monkeypatch):
+    monkeypatch.setattr(labels, "BROADCAST_BYTES", 0)
+    with pytest.raises(ValueError):
+        labels.for_each(p.users.select("tenant_id"), p.labels)

@@ -90,3 +90,23 @@ def test_only_creators_of_links_are_looked_up(spark):
 def test_long_lists_become_semi_joins(spark):
     text = plan(QUERIES["activity_of_listed_modules"](spark, SF_DIR))
     assert "LeftSemi" in text and not re.search(r"module_id#\w+ IN|module_id#\w+ INSET", text)
+
+
+def test_exceptions_need_no_join_of_their_own(spark):
+    text = plan(QUERIES["audience_all_criteria"](spark, SF_DIR))
+    assert "bit_or" in text
+    top = text.split("Final Plan")[0].split("HashAggregate", 1)[0]
+    assert "LeftAnti" not in top
+
+
+def test_a_deep_page_reads_its_ranges_only(spark, rows):
+    from lumenpath.operators.audience import page_of
+
+    people = spark.range(5000).selectExpr("concat('n', id % 700) as name", "id as user_id")
+    names = sorted((f"n{k % 700}", k) for k in range(5000))
+    for skip, take in ((0, 10), (4321, 25), (4990, 50), (6000, 5), (2500, 0)):
+        page = page_of(people.repartition(3), ["name", "user_id"], skip, take, "total")
+        assert [tuple(r) for r in page.collect()] == [(*row, 5000) for row in names[skip : skip + take]]
+    deep = plan(page_of(people, ["name", "user_id"], 4321, 25, "total"))
+    assert re.search(r"PartitionFilters: \[(isnotnull\(_range#\w+\), )?\(?_range#\w+ (= \d+|IN \(\d+\))", deep) and "CollectLimit" not in deep
+    assert page_of(people.where("false"), ["name", "user_id"], 0, 10, "total").collect() == []

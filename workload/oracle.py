@@ -683,6 +683,11 @@ _CHECKS: dict[str, str] = {
     "partial_score_switch": "select tenant_id, environment_id, is_on from {x_partial}",
     "attributes_latest": "select * from {x_attributes}",
     "attributes_pivot": "select * from {x_wide_attributes}",
+    "attribute_names_by_tenant": """
+        select tenant_id, trim(replace(name, tenant_id || '_', '')) as attribute, min(attribute_id) as first_id from {attributes} where is_active group by all""",
+    "attributes_of_two_tenants": f"""
+        select u.user_id, u.tenant_id, {_ATTR_COLUMNS} from {{users}} u left join {{x_wide_attributes}} wa on wa.user_id = u.user_id and wa.tenant_id = u.tenant_id
+        where u.tenant_id in ({", ".join(f"'{t}'" for t in TENANTS[:2])})""",
     "module_pivot": "select user_id, tenant_id, "
     + ", ".join(f"cast(max(case when module_id = {y * 10 + p} then total_score end) as decimal(18,2)) as module_{y * 10 + p}" for y in range(1995, 2002) for p in range(1, 6))
     + " from {x_latest} group by user_id, tenant_id",
@@ -865,6 +870,12 @@ _CHECKS: dict[str, str] = {
           from {{users}} u join ({AUDIENCES["competition"]} except {AUDIENCES["track_finished"]}) a on a.user_id = u.user_id and a.tenant_id = u.tenant_id
           where lower(u.full_name) like '%customer#0000%' or lower(u.login) like '%customer#0000%' or lower(u.email) like '%customer#0000%') x
         order by name, tenant_id, user_id limit 40 offset 5""",
+    "deep_audience_page": f"""
+        select *, count(*) over () as total_users from (
+          select u.user_id, u.tenant_id, u.full_name as name, coalesce(u.email, '') as email, u.login, u.created_by, u.updated_by, {second("u.updated_at")} as updated_at,
+                 {second("u.created_at")} as created_at, u.is_active
+          from {{users}} u join ({AUDIENCES["competition"]} except {AUDIENCES["track_finished"]}) a on a.user_id = u.user_id and a.tenant_id = u.tenant_id) x
+        order by name, tenant_id, user_id limit 45 offset 300""",
     "text_criteria": """
         select entity_attribute_id, attribute_id, lower(trim(text_value)) = 'code-1' as equal_to, lower(trim(text_value)) like 'code-1%' as starts_with,
                lower(trim(text_value)) like '%-2' as ends_with, lower(trim(text_value)) like '%de-3%' as contains,
@@ -904,3 +915,9 @@ _CHECKS: dict[str, str] = {
 }
 
 ORACLES: dict[str, str] = {name: with_tables(body, BLOCKS) for name, body in _CHECKS.items()}
+# The table functions give what the operators give.
+_SAME_AS = {
+    "sql_user_attributes": "attributes_latest", "sql_settings": "settings_overlay", "sql_environment_settings": "environment_settings_overlay",
+    "sql_editable_entities": "editable_environments", "sql_label_text": "label_override", "sql_all_groups": "all_groups_filtered",
+}
+ORACLES.update({name: ORACLES[other] for name, other in _SAME_AS.items()})

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenpath.functions import codes, exprs, predicates
-from lumenpath.operators import access, answers, attributes, audience, content, labels, latest, progress, provenance, status
+from lumenpath.operators import access, answers, attributes, audience, content, labels, latest, progress, provenance, status, table_functions
 from lumenpath.operators.audience import Criterion
 from lumenpath.params import ReportParams
 from lumenpath.plans import activity, environment, gold, module_columns, module_rows, track
@@ -127,6 +127,19 @@ def attributes_pivot(p: Platform) -> DataFrame:
     return attributes.pivot_attributes(attributes.user_attributes(p), attributes.attribute_names(p))
 
 
+@query
+def attribute_names_by_tenant(p: Platform) -> DataFrame:
+    return attributes.tenant_attribute_names(p)
+
+
+@query
+def attributes_of_two_tenants(p: Platform) -> DataFrame:
+    """Users of two tenants with the attribute columns that a report on these tenants has."""
+    tenants = p.users.where(F.col("tenant_id").isin(TENANTS[0], TENANTS[1])).select("tenant_id").distinct()
+    users = p.users.join(tenants, "tenant_id", "left_semi").select("user_id", "tenant_id")
+    return attributes.with_attribute_columns(p, users, tenants)
+
+
 @query
 def module_pivot(p: Platform) -> DataFrame:
     """Latest total score per user with one column per module, in module order."""
@@ -136,6 +149,50 @@ def module_pivot(p: Platform) -> DataFrame:
     return wide.toDF("user_id", "tenant_id", *[f"module_{m}" for m in ids])
 
 
+# ---- table functions, called from SQL ------------------------------------------------------------------
+
+
+def _through_sql(p: Platform, sql: str, **tables: DataFrame) -> DataFrame:
+    table_functions.register(p)
+    for name, frame in tables.items():
+        frame.createOrReplaceTempView(name)
+    return p.users.sparkSession.sql(sql)
+
+
+@query
+def sql_user_attributes(p: Platform) -> DataFrame:
+    return _through_sql(p, "SELECT a.* FROM called_tenants t, LATERAL user_attributes_of(t.tenant_id) a", called_tenants=p.users.select("tenant_id").distinct())
+
+
+@query
+def sql_settings(p: Platform) -> DataFrame:
+    return _through_sql(p, "SELECT s.* FROM called_tenants t, LATERAL settings_of(t.tenant_id) s", called_tenants=p.users.select("tenant_id").distinct())
+
+
+@query
+def sql_environment_settings(p: Platform) -> DataFrame:
+    sql = "SELECT s.* FROM called_environments e, LATERAL environment_settings_of(e.tenant_id, e.environment_id) s"
+    return _through_sql(p, sql, called_environments=p.environments)
+
+
+@query
+def sql_editable_entities(p: Platform) -> DataFrame:
+    admins = p.any_admins.unionByName(p.tree_admins).unionByName(p.specific_admins).distinct()
+    return _through_sql(p, "SELECT e.* FROM called_admins a, LATERAL editable_entities_of(a.admin_id, a.tenant_id, 'CP') e", called_admins=admins)
+
+
+@query
+def sql_label_text(p: Platform) -> DataFrame:
+    wanted = p.labels.select("label_id").withColumn("tenant_id", F.explode(F.array(*[F.lit(t) for t in TENANTS])))
+    return _through_sql(p, "SELECT l.* FROM called_labels w, LATERAL label_text_of(w.label_id, w.tenant_id, 'pt') l", called_labels=wanted)
+
+
+@query
+def sql_all_groups(p: Platform) -> DataFrame:
+    sql = "SELECT g.* FROM called_users u, LATERAL all_groups_of(u.user_id, u.tenant_id, array(1L, 2L, 105L, 106L, 107L)) g"
+    return _through_sql(p, sql, called_users=p.group_members.select("user_id", "tenant_id").distinct())
+
+
 # ---- access --------------------------------------------------------------------------------------------
 
 
@@ -482,6 +539,12 @@ def audience_page(p: Platform) -> DataFrame:
     return audience.audience_users(p, AUDIENCES["competition"], AUDIENCES["track_finished"], search="CUSTOMER#0000", skip=5, take=40)
 
 
+@query
+def deep_audience_page(p: Platform) -> DataFrame:
+    """A page that begins behind several hundred users."""
+    return audience.audience_users(p, AUDIENCES["competition"], AUDIENCES["track_finished"], skip=300, take=45)
+
+
 @query
 def text_criteria(p: Platform) -> DataFrame:
     value = F.col("text_value")
