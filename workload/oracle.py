@@ -141,7 +141,7 @@ def label(wanted: str, language: str) -> str:
 
 
 _EACH_TENANT = ", ".join(f"'{t}'" for t in TENANTS)
-_ATTRIBUTES = ("click", "error", "purchase", "signup", "view")  # in attribute id order
+_ATTRIBUTES = ("click", "error", "purchase", "signup", "view", "phone", "skills", "shift")  # in attribute id order
 
 MODULES_ACTIVE = [(y, p) for y in range(1995, 2001) for p in range(1, 6) if (y, p) != (1998, 5)]
 
@@ -586,6 +586,7 @@ AUDIENCES = {
     "admin_profile": people("exists (select 1 from {profile_users} r where r.user_id = u.user_id and r.tenant_id = u.tenant_id and r.profile_id = 1)"),
     "user_status": people("not u.is_active", active=False),
     "select": attribute(4, "e.value_id = 2"),
+    "multiple": attribute(7, "e.value_id in (2, 5)"),
     "integer": attribute(1, "try_cast(e.text_value as int) >= 100"),
     "date": attribute(5, "try_cast(e.text_value as date) between date '2024-01-10' and date '2024-01-12'"),
     "text": attribute(2, "strip_accents(lower(e.text_value)) like '%code-1%'"),

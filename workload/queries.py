@@ -513,6 +513,7 @@ AUDIENCES: dict[str, list[Criterion]] = {
     "admin_profile": _all("AP", "adminProfile", entity_id=1),
     "user_status": _all("SU", "userStatus", entity_id=0),
     "select": _all("AV", "equal_to", entity_id=2, attribute_id=4),
+    "multiple": _all("AV", "equal_to", entity_id=2, attribute_id=7) + _all("AV", "equal_to", entity_id=5, attribute_id=7),
     "integer": _all("AV", "greater_than_or_equal_to", value="100", attribute_id=1, entity_id=0),
     "date": _all("AV", "in_between", value="2024-01-10", value_2="2024-01-12", attribute_id=5, entity_id=0),
     "text": _all("AV", "contains", value="CODE-1", attribute_id=2, entity_id=0),

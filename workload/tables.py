@@ -282,7 +282,10 @@ TABLES: dict[str, str] = {
                                      when 'signup' then 4 else 5 end as bigint) as attribute_id,
                cast(case event_type when 'click' then 2 when 'error' then 1 when 'purchase' then 3
                                     when 'signup' then 7 else 4 end as bigint) as type_id
-        from (select distinct event_type from {events}) d""",
+        from (select distinct event_type from {events}) d
+        union all select 'phone', cast(6 as bigint), cast(8 as bigint)
+        union all select 'skills', cast(7 as bigint), cast(6 as bigint)
+        union all select 'shift', cast(8 as bigint), cast(5 as bigint)""",
     "attributes": """
         select attribute_id, tenant_id, tenant_id || '_' || event_type as name, type_id, true as is_active
         from (select event_type, attribute_id, type_id, @TENANTS as tenant_id from {attribute_key}) e
@@ -305,7 +308,23 @@ TABLES: dict[str, str] = {
                     when 'view' then cast(cast(ts as date) as string) end as text_value,
                case when e.event_type = 'view' then cast(ts as date) end as date_value, cast(null as string) as time_value,
                c_mktsegment as tenant_id
-        from {events} e join {attribute_key} k on k.event_type = e.event_type join {customer} on c_custkey = e.user_id""",
+        from {events} e join {attribute_key} k on k.event_type = e.event_type join {customer} on c_custkey = e.user_id
+        union all
+        select cast(1000000000 + c_custkey as bigint), cast(c_custkey as bigint), 'US', cast(6 as bigint), cast(null as bigint),
+               ' ' || cast(10 + c_nationkey as string) || '-555-' || cast(1000 + c_custkey as string) || ' ', cast(null as date), cast(null as string), c_mktsegment
+        from {customer} where c_custkey % 3 <> 0
+        union all
+        select cast(2000000000 as bigint) + c_custkey, cast(c_custkey as bigint), 'US', cast(7 as bigint), cast(1 + c_nationkey % 5 as bigint),
+               cast(null as string), cast(null as date), cast(null as string), c_mktsegment
+        from {customer} where c_custkey % 4 <> 1
+        union all
+        select cast(3000000000 as bigint) + c_custkey, cast(c_custkey as bigint), 'US', cast(7 as bigint), cast(1 + c_custkey % 5 as bigint),
+               cast(null as string), cast(null as date), cast(null as string), c_mktsegment
+        from {customer} where c_custkey % 2 = 0
+        union all
+        select cast(4000000000 as bigint) + c_custkey, cast(c_custkey as bigint), 'US', cast(8 as bigint), cast(null as bigint),
+               cast(null as string), cast(null as date), '0' || cast(c_nationkey % 10 as string) || ':30:00', c_mktsegment
+        from {customer} where c_custkey % 5 <> 2""",
     "attribute_values": """
         select 1 + cast(r_regionkey as bigint) as value_id, 201 + cast(r_regionkey as bigint) as label_id, @TENANTS as tenant_id from {region}""",
     "labels": """
