@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from lumenpath.llm.packing import tidied
 from lumenpath.llm.words import slices
 
 #: Unicode white space, as a character class.
@@ -275,7 +276,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         finally:
             encoder.rest()
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -292,4 +293,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 texts = [decoder.decode(ids) if ids else b"" for ids in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=schema.fieldNames())
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(tidied(run), schema)
