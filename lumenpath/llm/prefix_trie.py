@@ -325,7 +325,7 @@ def prefix_trie(turns: DataFrame, conversations: DataFrame) -> DataFrame:
         (F.col("saved") - (F.col("n_convs") - 1) * heard).alias("saved_tokens"),
     )
     zero = F.lit(0).cast("bigint")
-    at_root = spark.range(1).where(total > 0).select(zero.alias("p1"), zero.alias("p2"), zero.alias("depth"))
+    at_root = spark.range(1).where(total > 0).select(*[F.col("id").alias(name) for name in NODE])
     root = at_root.join(children, [*NODE], "left").join(sums.where("top = 0").withColumnRenamed("top", "depth"), "depth", "left").select(
         *NODE, least.alias("conv_id"), none.alias("parent_conv_id"), total.alias("n_convs"), F.coalesce("n_children", zero).alias("n_children"),
         F.coalesce("n_leaves", F.lit(1).cast("bigint")).alias("n_leaves"), F.coalesce("saved", zero).alias("saved_tokens"),
