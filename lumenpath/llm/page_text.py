@@ -35,11 +35,13 @@ from lumenpath.llm.url_filter import host, path
 from lumenpath.llm.words import slices
 from lumenpath.sources.staging import Stage
 
+# A tag ends at its ``>``; an unquoted ``<`` before it says that it is none, and stands as text.  A start is thus left behind within the
+# next few tags, for quotes only swap "outside" with "inside", and no more than two starts can be inside at the same place.
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|svg|iframe|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>"
-    r"|<(/?)([a-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
+    r"|<(script|style|noscript|template|textarea|title|svg|iframe|object)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-z][^\s/<>\"']*)((?:\"[^\"]*\"|'[^']*'|[^<>\"'])*)>",
     re.I | re.S,
 )
 _NAMED = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
