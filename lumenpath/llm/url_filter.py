@@ -11,13 +11,16 @@ them.  Of the rules a URL fulfils the most confident decides, then the larger su
 the default does.  Listed rules of hosts and paths come first and are kept apart from the mined ones.
 
 The number of rules is bounded by the number of frequent token sets, at most C(tokens of a URL, <= 3) / min_support,
-whatever the number of URLs; they are broadcast.  Null URLs and URLs without ``://`` have no host, path or tokens and
+whatever the number of URLs; they are broadcast.  Very long URLs: tokens that stand in the very same URLs are mined as one, so a long
+address that is repeated costs no more than a short one; URLs that share more than about 25 frequent tokens in many different
+combinations are still listed set by set, which takes twice as long with each such token.  Null URLs and URLs without ``://`` have no host, path or tokens and
 get the default.  Repeated URLs are judged alike.  Without labels nothing is mined.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
@@ -58,6 +61,15 @@ def tokens(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
 
 
+def _interchangeable(baskets: DataFrame, least: float) -> dict[str, list[str]]:
+    """Tokens that stand in the very same URLs, by the first of them; of tokens that are frequent alone, which support bounds in number."""
+    mark = lambda k: F.sum(F.xxhash64(F.lit(k), "items").cast("decimal(20,0)")).alias(f"mark{k}")
+    seen = baskets.select(F.explode("items").alias("token"), "items").where(~F.col("token").startswith(LABEL))
+    same = seen.groupBy("token").agg(F.count("*").alias("n"), mark(1), mark(2)).where(F.col("n") >= least)
+    groups = same.groupBy("n", "mark1", "mark2").agg(F.array_sort(F.collect_list("token")).alias("tokens")).where(F.size("tokens") > 1)
+    return {row.tokens[0]: row.tokens for row in groups.select("tokens").collect()}
+
+
 def mine(
     labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS, min_count: int = MIN_COUNT
 ) -> list[tuple]:
@@ -73,6 +85,12 @@ def mine(
     if not total:
         return []
     support = max(min_support, min(1.0, min_count / total))
+    # Tokens that never part, such as those of one address that comes again and again, are mined as one: FP-growth lists every
+    # frequent set, and sets of such tokens alone would double with each of them while no longer set of them says more.
+    alike = _interchangeable(baskets, support * total)
+    spare = [token for tokens in alike.values() for token in tokens[1:]]
+    if spare:
+        baskets = baskets.select(F.array_except("items", F.array(*[F.lit(t) for t in spare])).alias("items"))
     sets = FPGrowth(itemsCol="items", minSupport=support, minConfidence=0.0).fit(baskets).freqItemsets
     sets = sets.withColumn("label", F.get(F.filter("items", lambda x: x.startswith(LABEL)), F.lit(0)))
     sets = sets.withColumn("tokens", F.array_sort(F.filter("items", lambda x: ~x.startswith(LABEL))))
@@ -92,7 +110,10 @@ def mine(
         if all(best.get((some, label), 0) < confidence for some in shorter):
             kept.append(rule)
         best[items, label] = max([confidence, *(best.get((some, label), 0) for some in shorter)])
-    return [(tuple(sorted(items)), label, confidence, support) for items, label, confidence, support in kept]
+    each = [
+        (tuple(sorted(named)), label, confidence, freq) for items, label, confidence, freq in kept for named in product(*(alike.get(x, [x]) for x in items))
+    ]
+    return sorted(each, key=lambda r: (len(r[0]), r[0]))
 
 
 class RuleIndex:

@@ -183,3 +183,20 @@ def test_markup_that_is_left_open():
 
 def test_empty_table(rows):
     assert p.extract(rows([], "url string, html string")).collect() == []
+
+
+@pytest.mark.parametrize("broken", ["<a " * 350_000, "<script '" * 110_000, "<!" * 500_000, "<a \"'<b ''<c \"" * 70_000, "<div>" * 200_000, "<!-- " * 200_000])
+def test_a_broken_page_of_a_megabyte_takes_seconds(broken):
+    import time
+
+    start = time.process_time()
+    assert p.page_lines("<p>before</p>" + broken)[:1] == [("before", p.OPEN)]
+    assert time.process_time() - start < 20
+
+
+def test_a_long_address_that_comes_again_and_again_is_mined(rows):
+    long = "https://a.b.example.net/" + "/".join(f"part-{chr(97 + k % 26)}{chr(97 + k // 26)}x" for k in range(30)) + "?q=1"
+    data = [(long, "block")] * 30 + [(f"https://other.example.com/{k}", "allow") for k in range(40)]
+    rules = u.mine(rows(data, "url string, label string").repartition(2))
+    held = [items for items, label, _, _ in rules if label == "block"]
+    assert len(held) >= 60 and all(len(items) == 1 for items in held)
