@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumenpath.functions import codes
 from lumenpath.functions.predicates import either_one_of, where_all
-from lumenpath.operators.sizes import BROADCAST_BYTES, measured_bytes
+from lumenpath.operators.sizes import BROADCAST_BYTES
 from lumenpath.sources import Platform
 
 
@@ -83,7 +83,9 @@ def first_group(platform: Platform, per_environment: bool = True, group_ids: tup
     if not per_environment:
         attached = attached.drop("environments")
     named = named.join(attached, ["group_id", "tenant_id"])
-    small = measured_bytes(named) <= BROADCAST_BYTES  # one measurement serves both joins
+    # A bound of both sides from two plain scans, without the joins: every row has at most two names.
+    size = groups.agg(F.count("*").alias("n"), F.coalesce(F.max(F.length("name")), F.lit(0)).alias("longest")).first()
+    small = size.n * (64 + 4 * size.longest) + 16 * platform.environment_groups.count() <= BROADCAST_BYTES
     ids = named.withColumn("_top", F.col("parent_group_id").isNull()).drop("parent_group_id", "parent_group_name", "child_group_name")
     names = named.drop("environments")
     if small:
