@@ -38,6 +38,9 @@ REMEMBERED = (32 << 20, 160 << 20, 64 << 20)
 KEPT = 0.4  # of a generation, at most, that an idle worker keeps
 ENTRY_BYTES = 200  # of an answer, besides its characters and ids
 SHORT = 48  # characters of a cut that is remembered
+TOGETHER = 256  # new words that are merged in one pass
+_ENDS = ".,;:!?)\"'"
+_ONES = [1 << k for k in range(256)]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -97,7 +100,7 @@ class Encoder:
         cuts, spaced, matches = REMEMBERED
         self.cuts: dict[str, bytes] = _Memory(self._encode_cut, cuts)
         self.spaced: dict[str, bytes] = _Memory(lambda cut: self._encode_cut(" " + cut), spaced)  # by what follows the space
-        self.matches: dict[str, bytes] = _Memory(self._encode_match, matches)
+        self.matches: dict[str, bytes] = _Memory(self._encode_part, matches)
 
     def rest(self) -> None:
         """Forgets most answers; called at the end of a task."""
@@ -119,19 +122,59 @@ class Encoder:
 
     def _encode_cut(self, cut: str) -> bytes:
         if cut.isalpha() or (cut[:1] == " " and cut[1:].isalpha()):
-            return self._encode_match(cut)  # the whole cut is remembered, so its one match need not be
+            # The whole cut is remembered, so its one match need not be; but it may be, as a part of another cut.
+            found = self.matches.get(cut)
+            return self._encode_match(cut) if found is None else found
         return b"".join(map(self.matches.__getitem__, self.split(cut)))
 
+    def _encode_part(self, match: str) -> bytes:
+        """One match of a cut; a word may be known as a cut of its own."""
+        found = self.spaced.get(match[1:]) if match[0] == " " and match[1:].isalpha() else self.cuts.get(match) if match.isalpha() else None
+        return self._encode_match(match) if found is None else found
+
     def _encode_match(self, match: str) -> bytes:
         return array("I", self.merge(match.encode())).tobytes()
 
+    def learn(self, texts: list[str | None]) -> None:
+        """Remembers the words of some texts that are new, merged together: one pass of the queue serves them all."""
+        new: set[str] = set()
+        for text in texts:
+            if text and not self.long_space(text):
+                for line in text.split("\n"):
+                    new.update(line.split(" ")[1:])
+        words = {word for word in (cut.rstrip(_ENDS) for cut in new.difference(self.spaced)) if 0 < len(word) <= SHORT and word.isalpha()}
+        words = [word for word in words if word not in self.spaced and word not in self.spaced.old and " " + word not in self.matches]
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            for word, ids in zip(some, self.merge_all([(" " + word).encode() for word in some])):
+                self.spaced.put(word, ids)
+
+    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of several matches, each as little-endian unsigned 32-bit integers."""
+        ids: list[int] = []
+        for piece in pieces:
+            whole = self.ranks.get(piece)
+            if whole is None:
+                ids.extend(map(self.bytes.__getitem__, piece))
+            else:
+                ids.append(whole)
+            ids.append(-1)  # makes no pair with anything
+        merged = np.array(self._merged(ids), np.int64)
+        ends = np.flatnonzero(merged < 0)
+        data = merged.astype("<u4").tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip([0, *(ends[:-1] + 1).tolist()], ends.tolist())]
+
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one match.  The steps of the queue's ``push`` and ``pop`` are written out here; calls would double the time."""
+        """Ids of one match."""
         whole = self.ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        get, bits, words, buckets = self.pairs.get, self.bits, self.queue.words, self.queue.buckets
-        ids = list(map(self.bytes.__getitem__, piece))
+        return [whole] if whole is not None else self._merged(list(map(self.bytes.__getitem__, piece)))
+
+    def _merged(self, ids: list[int]) -> list[int]:
+        """The steps of the queue's ``push`` and ``pop`` are written out here; calls would double the time.
+
+        The positions of the lowest rank are taken together, from the left, unless one makes a pair of a lower rank.
+        """
+        get, bits, words, buckets, ones = self.pairs.get, self.bits, self.queue.words, self.queue.buckets, _ONES
         n, summary = len(ids), 0
         after, before = list(range(1, n + 2)), list(range(-1, n))
         pair = [get(a << bits | b) for a, b in zip(ids, ids[1:])]
@@ -140,52 +183,56 @@ class Encoder:
             if rank is None:
                 continue
             if rank in buckets:
-                buckets[rank].append(i)  # in order, so still a heap
+                buckets[rank].append(i)
             else:
                 buckets[rank] = [i]
-                words[rank >> 8] |= 1 << (rank & 255)
-                summary |= 1 << (rank >> 8)
+                high = rank >> 8
+                words[high] |= ones[rank & 255]
+                summary |= 1 << high
         while summary:
             high = (summary & -summary).bit_length() - 1
             word = words[high]
             rank = high << 8 | ((word & -word).bit_length() - 1)
             bucket = buckets[rank]
             if len(bucket) > 1:
-                i = heappop(bucket)
-            else:
-                i = bucket[0]
+                bucket.sort(reverse=True)
+            lower = False
+            while bucket and not lower:
+                i = bucket.pop()
+                if pair[i] != rank:
+                    continue  # stale
+                gone = after[i]
+                follows = after[i] = after[gone]
+                ids[i], ids[gone], pair[gone] = rank, None, None
+                if follows < n:
+                    before[follows] = i
+                    new = pair[i] = get(rank << bits | ids[follows])
+                    if new is not None:
+                        lower = new < rank
+                        if new in buckets:
+                            buckets[new].append(i)
+                        else:
+                            buckets[new] = [i]
+                            words[new >> 8] |= ones[new & 255]
+                            summary |= 1 << (new >> 8)
+                else:
+                    pair[i] = None
+                i = before[i]
+                if i >= 0:
+                    new = pair[i] = get(ids[i] << bits | rank)
+                    if new is not None:
+                        lower = lower or new < rank
+                        if new in buckets:
+                            buckets[new].append(i)
+                        else:
+                            buckets[new] = [i]
+                            words[new >> 8] |= ones[new & 255]
+                            summary |= 1 << (new >> 8)
+            if not bucket:
                 del buckets[rank]
-                word &= word - 1
-                words[high] = word
-                if not word:
-                    summary &= summary - 1
-            if pair[i] != rank:
-                continue  # stale
-            gone = after[i]
-            follows = after[i] = after[gone]
-            ids[i], ids[gone], pair[gone] = rank, None, None
-            if follows < n:
-                before[follows] = i
-                new = pair[i] = get(rank << bits | ids[follows])
-                if new is not None:
-                    if new in buckets:
-                        heappush(buckets[new], i)
-                    else:
-                        buckets[new] = [i]
-                        words[new >> 8] |= 1 << (new & 255)
-                        summary |= 1 << (new >> 8)
-            else:
-                pair[i] = None
-            i = before[i]
-            if i >= 0:
-                new = pair[i] = get(ids[i] << bits | rank)
-                if new is not None:
-                    if new in buckets:
-                        heappush(buckets[new], i)
-                    else:
-                        buckets[new] = [i]
-                        words[new >> 8] |= 1 << (new & 255)
-                        summary |= 1 << (new >> 8)
+                words[high] ^= ones[rank & 255]
+                if not words[high]:
+                    summary ^= 1 << high
         return [i for i in ids if i is not None]
 
 
@@ -220,14 +267,17 @@ class _Memory(dict):
         if found is None:
             found = self.answer(key)
         if len(key) <= SHORT:
-            self.held += ENTRY_BYTES + 2 * len(key) + len(found)
-            if self.held > self.limit:
-                self.old = dict(self)
-                self.clear()
-                self.held = ENTRY_BYTES + 2 * len(key) + len(found)
-            self[key] = found
+            self.put(key, found)
         return found
 
+    def put(self, key: str, found: bytes) -> None:
+        self.held += ENTRY_BYTES + 2 * len(key) + len(found)
+        if self.held > self.limit:
+            self.old = dict(self)
+            self.clear()
+            self.held = ENTRY_BYTES + 2 * len(key) + len(found)
+        self[key] = found
+
     def shrink(self, limit: int) -> None:
         """Keeps the first answers of the young generation, up to so many bytes."""
         kept, self.held, self.old = [], 0, {}
@@ -270,7 +320,9 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         try:
             for batch in batches:
                 for part in slices(batch, "text"):
-                    ids = [encoder.encode(text) for text in part.column("text").to_pylist()]
+                    texts = part.column("text").to_pylist()
+                    encoder.learn(texts)
+                    ids = [encoder.encode(text) for text in texts]
                     counts = [len(x) // 4 for x in ids]
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary()), pa.array(counts, pa.int64())], names=schema.fieldNames())
         finally:

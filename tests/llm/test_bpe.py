@@ -122,3 +122,27 @@ def test_vocabulary_file_is_read_line_by_line(tmp_path):
     file = tmp_path / "ranks"
     file.write_bytes(base64.b64encode(b"a") + b" 0\n" + base64.b64encode(b" b") + b" 7\n\n")
     assert bpe.read_ranks(str(file)) == {b"a": 0, b" b": 7}
+
+
+def test_new_words_of_a_slice_are_merged_in_one_pass(encoder, library, monkeypatch):
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdeéßио") for _ in range(rnd.randint(1, 14))) for _ in range(700)]
+    pieces = [(" " + word).encode() for word in words]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.merge_all(pieces)] == [library.encode_ordinary(" " + word) for word in words]
+    assert not any(encoder.queue.words) and not encoder.queue.buckets
+    own = bpe.Encoder(encoder.ranks, public_tokenizers.PATTERN)
+    passes, run = [], own._merged
+    monkeypatch.setattr(own, "_merged", lambda ids: passes.append(len(ids)) or run(ids))
+    texts = ["first " + " ".join(words), None, "", "a  b", "\n".join(f"x {w}, {w}." for w in words)]
+    own.learn(texts)
+    learnt = len(passes)
+    assert [ids(own, t) for t in texts if t] == [library.encode_ordinary(t) for t in texts if t]
+    assert learnt <= 4 and len(passes) < 20  # not one for each word
+
+
+def test_a_merge_that_makes_a_lower_rank_goes_on_with_it():
+    # ab (rank 300) makes abc, of rank 299, before the other ab is merged.
+    ranks = {bytes([k]): k for k in range(256)} | {b"ab": 300, b"abc": 299, b"abcab": 298}
+    own = bpe.Encoder(ranks, r"[\s\S]+")
+    assert own.merge(b"abcabcab") == [298, 99, 300]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.merge_all([b"abcab", b"abcabcab", b"zab"])] == [[298], [298, 99, 300], [122, 300]]
