@@ -27,13 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumenpath.llm.packing import cuts, pack, unpack
+from lumenpath.llm.packing import cuts, pack, tidied, unpack
 from lumenpath.llm.words import NOT_ALPHANUMERIC, Words, mix, slices
 from lumenpath.sources.staging import Stage
 
 SHARD = 256  # documents of a shard
 GATHERED, GATHERED_TERMS = 2048, 1 << 20  # documents, and their distinct terms, that a task holds to form shards
 PROBES, BITS_PER_ENTRY = 4, 10
+AT_ONCE = 1 << 14  # terms of a shard whose slices are worked out together
+PART = 1 << 11  # terms of a block whose bitmaps are unpacked together
+DOCS = 64  # documents that are scored together
 BLOCK_TERMS = 1 << 14
 _LEVEL = np.uint64(0xD1342543DE82EF95)
 
@@ -64,8 +67,10 @@ def _shard(docs: list[tuple]) -> tuple:
     bits = 1 << max(6, (BITS_PER_ENTRY * most - 1).bit_length())
     table = np.zeros((bits, len(docs)), bool)
     for level in range(levels):
-        held = counts >= 1 << level
-        table[places(entries(terms[held], level), bits), owners[held][:, None]] = True
+        held = np.flatnonzero(counts >= 1 << level)
+        for at in range(0, len(held), AT_ONCE):
+            some = held[at : at + AT_ONCE]
+            table[places(entries(terms[some], level), bits), owners[some][:, None]] = True
     lengths = [d[1] for d in docs]
     return (
         len(docs), sum(lengths), min(lengths), levels, bits, [d[0] for d in docs], lengths, [len(d[2]) for d in docs],
@@ -110,7 +115,7 @@ def index(docs: DataFrame) -> DataFrame:
                     held, size = [], 0
         yield from shards(held)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(build, INDEX)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(tidied(build), INDEX)
 
 
 def _counted(shards: DataFrame, vocabulary) -> DataFrame:
@@ -128,7 +133,7 @@ def _counted(shards: DataFrame, vocabulary) -> DataFrame:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["term", "df"])
 
-    return shards.select("sizes", "terms").mapInArrow(count, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+    return shards.select("sizes", "terms").mapInArrow(tidied(count), "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def _damping(lengths: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
@@ -167,15 +172,17 @@ class Items:
         n_docs, bits = row["n_docs"], row["bits"]
         table = np.frombuffer(pa.decompress(row["slices"], bits * -(-n_docs // 8), codec="zstd", asbytes=True), np.uint8).reshape(bits, -1)
         damping = _damping(np.array([lengths.min()]), self.n_docs, self.n_terms)
-        worth = np.zeros((len(self.vocabulary), n_docs))
-        held, before = None, 0
-        for level in range(row["levels"]):
-            sets = np.bitwise_and.reduce(table[places(entries(self.vocabulary, level), bits)], axis=1)
-            held = sets if held is None else held & sets
-            gain = int(_gain(np.array([(2 << level) - 1]), damping)[0])
-            worth += np.unpackbits(held, axis=1, count=n_docs) * float(gain - before)
-            before = gain
-        return np.array([weights @ worth[at] for (_, at, _), weights in zip(self.items, self.weights)])
+        worth = np.zeros((len(self.vocabulary), n_docs), np.float32)  # whole numbers up to a million, so nothing is rounded
+        for begin in range(0, len(worth), PART):
+            terms, part = self.vocabulary[begin : begin + PART], worth[begin : begin + PART]
+            held, before = None, 0
+            for level in range(row["levels"]):
+                sets = np.bitwise_and.reduce(table[places(entries(terms, level), bits)], axis=1)
+                held = sets if held is None else held & sets
+                gain = int(_gain(np.array([(2 << level) - 1]), damping)[0])
+                part += np.unpackbits(held, axis=1, count=n_docs) * float(gain - before)
+                before = gain
+        return np.array([weights @ worth[at].astype(float) for (_, at, _), weights in zip(self.items, self.weights)])
 
     def visit(self, row: dict) -> None:
         """Takes what a shard can add to the results."""
@@ -192,9 +199,11 @@ class Items:
             done |= wanted
 
     def score(self, row: dict, lengths: np.ndarray, wanted: np.ndarray) -> None:
-        docs = np.flatnonzero(wanted.any(axis=0))
-        if not len(docs):
-            return
+        found = np.flatnonzero(wanted.any(axis=0))
+        for begin in range(0, len(found), DOCS):
+            self._score(row, lengths, wanted, found[begin : begin + DOCS])
+
+    def _score(self, row: dict, lengths: np.ndarray, wanted: np.ndarray, docs: np.ndarray) -> None:
         gains = np.zeros((len(self.vocabulary), len(docs)), np.int64)
         for place, doc in enumerate(docs.tolist()):
             n = row["sizes"][doc]
@@ -225,7 +234,7 @@ def _ranked(shards: DataFrame, block) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=names)
 
-    return shards.mapInArrow(search, "item bigint, score bigint, doc_id bigint")
+    return shards.mapInArrow(tidied(search), "item bigint, score bigint, doc_id bigint")
 
 
 def _terms_of(texts: list[str]) -> list[np.ndarray]:

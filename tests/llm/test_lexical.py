@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -96,3 +97,26 @@ def test_every_entry_of_a_document_is_found():
     assert row["levels"] == 4
     for level in range(4):
         assert (table[x.places(x.entries(np.array([3], np.uint64), level), row["bits"])] & 128).all()
+
+
+def _most_bytes(run):
+    tracemalloc.start()
+    try:
+        result = run()
+        return result, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_large_shards_take_little_room():
+    rnd = np.random.default_rng(3)
+    docs = [(k, 20_000, np.sort(rnd.integers(0, 1 << 63, 20_000).astype(np.uint64)), np.ones(20_000, np.int64)) for k in range(40)]
+    row, most = _most_bytes(lambda: x._shard(docs))
+    assert most < 80_000_000  # the places of all entries at once took more
+    row = dict(zip(x.INDEX_NAMES, row))
+    vocabulary = np.unique(np.concatenate([d[2][:400] for d in docs]))
+    asked = [(0, np.arange(len(vocabulary)), np.ones(len(vocabulary), np.int64))]
+    items = x.Items(vocabulary, np.ones(len(vocabulary), np.int64), asked, 40, 800_000, 50)
+    _, most = _most_bytes(lambda: items.visit({**row, "n_docs": 40}))
+    assert sorted(-own for _, _, own in items.heaps[0]) == list(range(40)) and len({score for score, _, _ in items.heaps[0]}) == 1
+    assert most < 100_000_000
