@@ -14,6 +14,7 @@ from lumenpath.operators.access import all_groups
 from lumenpath.operators.attributes import with_attribute_columns
 from lumenpath.operators.content import module_roles, real_users
 from lumenpath.operators.latest import first_group, first_per_key
+from lumenpath.operators.sizes import dealt
 from lumenpath.operators.status import track_status
 from lumenpath.params import ReportParams
 from lumenpath.plans.common import admins_for, visible_environments, visible_users
@@ -31,7 +32,7 @@ def track_link(platform: Platform) -> DataFrame:
         F.coalesce("created_by", "updated_by").alias("creator"),
     )
     return (
-        module_roles(platform).join(modules, ["module_id", "tenant_id"])
+        dealt(module_roles(platform).join(modules, ["module_id", "tenant_id"]), TRACK_KEYS)
         .groupBy(*TRACK_KEYS)
         .agg(F.max("role_id").alias("role_id"), F.min("created_at").alias("linked_at"), F.min(earliest).alias("_first"))
         .select(*TRACK_KEYS, "role_id", "linked_at", F.col("_first.origin").alias("origin"), F.col("_first.creator").alias("creator"))
@@ -44,12 +45,8 @@ def finished_module_names(platform: Platform) -> DataFrame:
     closed = platform.attempts.where(F.col("status_id").isin(*codes.CLOSED_STATES)).select(*keys).distinct()
     excused = platform.exemptions.where("starts_at is null and ends_at is null").select(*keys)
     modules = platform.modules.where("is_active").select("module_id", "tenant_id", "track_id", F.col("name").alias("text"))
-    return (
-        closed.join(excused, keys, "left_anti")
-        .join(modules, ["module_id", "tenant_id"])
-        .groupBy(*TRACK_KEYS)
-        .agg(join_sorted(["module_id"], "text").alias("finished_modules_text"))
-    )
+    rows = closed.join(excused, keys, "left_anti").join(modules, ["module_id", "tenant_id"])
+    return dealt(rows, TRACK_KEYS).groupBy(*TRACK_KEYS).agg(join_sorted(["module_id"], "text").alias("finished_modules_text"))
 
 
 def track_facts(platform: Platform, params: ReportParams, admins: DataFrame | None = None) -> DataFrame:
