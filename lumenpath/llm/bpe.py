@@ -3,7 +3,8 @@
 A text is split by the vocabulary's pattern; the bytes of each match are merged pair by pair, lowest rank first and leftmost
 among equals.  A queue keeps a bucket of linked-list positions for each rank that waits; two levels of bitmaps say which
 buckets are filled, and find-first-set picks the next rank.  An entry is stale, and skipped, when the pair that starts at its
-position no longer has that rank.  A match of n bytes takes n log n steps, also when it is very long.
+position no longer has that rank.  A match of n bytes takes n log n steps, also when it is very long.  New words of a slice of
+texts are merged together, a few hundred in one pass.
 
 White space can only stand at the start of a match or be one, so a text is first cut after each run of other characters;
 the ids of short cuts are remembered in tables of a bounded number of bytes.  Between tasks a worker process, which may stand
