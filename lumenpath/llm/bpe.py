@@ -306,18 +306,23 @@ def _shared(docs: DataFrame, path: str):
     return docs.sparkSession.sparkContext.broadcast(read_ranks(path)), hashlib.sha256(content).hexdigest()
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
     """The documents with ``ids`` (binary, little-endian unsigned 32-bit) and ``n_tokens``; the driver reads the file at ``path``.
 
+    With ``decoded`` also the bytes that the ids stand for, as ``decode`` gives them: the worker that has encoded a document decodes its
+    ids, so that a task keeps one worker process and not two, each of which would come to hold an encoder.
     Columns of these names that the documents bring are replaced.
     """
-    docs = docs.drop("ids", "n_tokens")
-    ranks, name = _shared(docs, path)
-    name = "encoder_" + hashlib.sha256((name + pattern).encode()).hexdigest()
+    docs = docs.drop("ids", "n_tokens", *["decoded"] * decoded)
+    ranks, vocabulary = _shared(docs, path)
+    name = "encoder_" + hashlib.sha256((vocabulary + pattern).encode()).hexdigest()
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
+    if decoded:
+        schema = schema.add("decoded", T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _of_this_process(name, lambda: Encoder(ranks.value, pattern))
+        decoder = _of_this_process("decoder_" + vocabulary, lambda: Decoder(ranks.value)) if decoded else None
         try:
             for batch in batches:
                 for part in slices(batch, "text"):
@@ -325,7 +330,10 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     encoder.learn(texts)
                     ids = [encoder.encode(text) for text in texts]
                     counts = [len(x) // 4 for x in ids]
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary()), pa.array(counts, pa.int64())], names=schema.fieldNames())
+                    columns = [*part.columns, pa.array(ids, pa.binary()), pa.array(counts, pa.int64())]
+                    if decoder:
+                        columns.append(pa.array([decoder.decode(x) if x else b"" for x in ids], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
         finally:
             encoder.rest()
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumenpath.llm.packing import tidied
 from lumenpath.llm.words import NOT_ALPHANUMERIC, Words, slices
 from lumenpath.sources.staging import Stage
 
@@ -180,8 +181,18 @@ def _merged(spans: list[list[int]]) -> list[list[int]]:
 _FOUND = "n_words bigint, spans array<int>, items array<string>"
 
 
-def _scan(docs: DataFrame, automaton: Automaton, again: bool, keep_text: bool) -> DataFrame:
-    """``spans`` holds the first and the last + 1 number of each run of hit words, one after the other."""
+def _left(text: str, words: Words, k: int, spans: list[list[int]]) -> str:
+    """The k-th text without the words of ``spans``."""
+    data, at, left = text.encode(), 0, []
+    for a, b in spans:
+        i = int(words.starts[k])
+        left.append(data[at : int(words.begin[i + a] - words.bounds[k])])
+        at = int(words.end[i + b - 1] - words.bounds[k])
+    return b"".join([*left, data[at:]]).decode()
+
+
+def _scan(docs: DataFrame, automaton: Automaton, again: bool, keep_text: bool, cut: bool) -> DataFrame:
+    """``spans`` holds the first and the last + 1 number of each run of hit words, one after the other; ``cut`` takes them from the text."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(automaton))
     kept = [field for field in docs.schema.fields if field.name not in ("n_words", "spans", "items") and (keep_text or field.name != "text")]
     schema = T.StructType(kept + T._parse_datatype_string(_FOUND).fields)
@@ -206,15 +217,23 @@ def _scan(docs: DataFrame, automaton: Automaton, again: bool, keep_text: bool) -
                     pa.array([[x for span in s for x in span] for s in spans], pa.list_(pa.int32())),
                     pa.array([sorted(x - {None}) for x in items], pa.list_(pa.string())),
                 ]
-                yield pa.RecordBatch.from_arrays([part.column(f.name) for f in kept] + found, names=[f.name for f in schema.fields])
+                columns = {f.name: part.column(f.name) for f in kept}
+                if cut:
+                    texts = [_left(text, words, k, s) if s else text for k, (text, s) in enumerate(zip(part.column("text").to_pylist(), spans))]
+                    columns["text"] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays([*columns.values(), *found], names=[f.name for f in schema.fields])
 
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(tidied(scan), schema)
 
 
-def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, keep_text: bool = False, block_words: int = BLOCK_WORDS, unnamed: bool = False) -> DataFrame:
+def matches(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, keep_text: bool = False, block_words: int = BLOCK_WORDS, unnamed: bool = False,
+    cut: bool = False,
+) -> DataFrame:
     """Adds ``n_words``, ``spans`` and ``items`` to documents that have a ``text``; ``items``: ``item_id``, ``text``.
 
     Columns of these three names that the documents bring are replaced.  With ``unnamed``, items without an id count for ``spans``.
+    With ``keep_text`` and ``cut`` the text comes without the words of ``spans``.  A task has one worker process for all of this.
     """
     docs = docs.drop("n_words", "spans", "items")
     texts = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null")
@@ -228,7 +247,7 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, keep_text:
         block = texts.where(F.pmod(F.xxhash64(F.coalesce("item_id", "text")), F.lit(blocks)) == k) if blocks > 1 else texts
         automaton = Automaton(sorted((tuple(row) for row in block.collect()), key=lambda x: (x[0] is None, x[0] or "", x[1])), window)
         last = k == blocks - 1
-        out = _scan(out, automaton, again=k > 0, keep_text=keep_text or not last)
+        out = _scan(out, automaton, again=k > 0, keep_text=keep_text or not last, cut=cut and last)
         if not last:
             out = stage.keep(f"block{k}", lambda frame=out: frame)
     return out
@@ -245,23 +264,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, max_coverage: float = 0.5,
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     hidden = docs.select(F.struct(*others, F.lit(None).alias("text")).alias("row"), F.col("text"))
-    found = matches(hidden, items, window, keep_text=True, unnamed=True).where(n_hit() <= max_coverage * F.col("n_words"))
-    schema = T.StructType([f for f in found.schema.fields if f.name in ("row", "text")])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                words = Words(part.column("text"), NOT_ALPHANUMERIC)
-                texts = part.column("text").to_pylist()
-                for k, flat in enumerate(part.column("spans").to_pylist()):
-                    if flat:
-                        data, at, left = texts[k].encode(), 0, []
-                        for a, b in zip(flat[::2], flat[1::2]):
-                            i = int(words.starts[k])
-                            left.append(data[at : int(words.begin[i + a] - words.bounds[k])])
-                            at = int(words.end[i + b - 1] - words.bounds[k])
-                        texts[k] = b"".join([*left, data[at:]]).decode()
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
-
-    clean = found.select("row", "text", "spans").mapInArrow(cut, schema)
+    clean = matches(hidden, items, window, keep_text=True, unnamed=True, cut=True).where(n_hit() <= max_coverage * F.col("n_words"))
     return clean.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumenpath.llm.packing import tidied
 from lumenpath.llm.words import slices
 from lumenpath.sources.staging import Stage, shared_folder
 
@@ -99,7 +100,7 @@ def _holders(docs: DataFrame, min_chars: int) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names=["h1", "h2", "doc_id"])
 
-    return docs.select("doc_id", "text").mapInArrow(keys, "h1 bigint, h2 bigint, doc_id bigint").distinct()
+    return docs.select("doc_id", "text").mapInArrow(tidied(keys), "h1 bigint, h2 bigint, doc_id bigint").distinct()
 
 
 def _doomed(docs: DataFrame, min_chars: int, min_docs: int, batches: int, fan_in: int) -> DataFrame:
@@ -153,5 +154,5 @@ def dedup_lines(
                     names=["row", "text", "n_lines", "n_dropped"],
                 )
 
-    done = joined.mapInArrow(cut, schema)
+    done = joined.mapInArrow(tidied(cut), schema)
     return done.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns], "n_lines", "n_dropped")

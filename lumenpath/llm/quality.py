@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumenpath.llm.packing import tidied
 from lumenpath.llm.words import slices, text_bytes
 
 KERNEL, STRIDE, HOP, FILTERS = 8, 4, 256, 32
@@ -159,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(data, pa.binary())], names=["doc_id", "label", "data"])
 
     chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
-    pieces = chosen.select("doc_id", "label", "text").mapInArrow(cut, "doc_id bigint, label int, data binary")
+    pieces = chosen.select("doc_id", "label", "text").mapInArrow(tidied(cut), "doc_id bigint, label int, data binary")
     rows = pieces.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("data").alias("data")).collect()
     rows.sort(key=lambda r: r["doc_id"])
     return train([bytes(r["data"]) for r in rows], [r["label"] for r in rows])
@@ -178,4 +179,4 @@ def score(docs: DataFrame, network: Network, column: str = "score") -> DataFrame
                 found = net.scores(*text_bytes(part.column("text")))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.float64())], names=schema.fieldNames())
 
-    return docs.mapInArrow(scores, schema)
+    return docs.mapInArrow(tidied(scores), schema)

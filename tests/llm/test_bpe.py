@@ -1,6 +1,7 @@
 import base64
 import random
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -118,6 +119,16 @@ def test_rows_come_back(rows, encoder):
     assert bpe.encode(frame.where("false"), PATH, public_tokenizers.PATTERN).count() == 0
 
 
+def test_encoding_and_decoding_share_one_worker_a_task(rows):
+    frame = rows([(k, t, "x", 0) for k, t in enumerate(["hello  world", None, "", "é" * 3000, "same"])], "doc_id bigint, text string, ids string, decoded int")
+    out = bpe.encode(frame, PATH, public_tokenizers.PATTERN, decoded=True)
+    two = bpe.decode(bpe.encode(frame, PATH, public_tokenizers.PATTERN), PATH)
+    assert out.columns == two.columns and sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, two.collect()), key=str)
+    for made in (out, corpus_pipeline.tokenization(frame.sparkSession, frame, "")):
+        assert made._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert bpe.encode(frame, PATH, public_tokenizers.PATTERN).schema["decoded"].dataType.typeName() == "integer"
+
+
 def test_vocabulary_file_is_read_line_by_line(tmp_path):
     file = tmp_path / "ranks"
     file.write_bytes(base64.b64encode(b"a") + b" 0\n" + base64.b64encode(b" b") + b" 7\n\n")

@@ -70,6 +70,19 @@ def test_items_without_an_id_are_hit(rows, block_words):
     assert d.decontaminate(docs, items, 0.9, window=4).first()["text"] == "so  and  end"
 
 
+def test_texts_are_scanned_and_cut_by_one_worker_a_task(rows, monkeypatch):
+    items = rows([(1, "one two three four"), (2, "alpha beta gamma delta")], "item_id bigint, text string")
+    docs = rows([(1, "é One two three four, then alpha beta gamma delta ö end of it all", "x", 1), (2, None, "x", 1)], DOCS)
+    found = d.decontaminate(docs, items, 0.9, window=4)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    wanted = [(1, "é , then  ö end of it all", "x", 1), (2, None, "x", 1)]
+    assert sorted(map(tuple, found.collect())) == wanted
+    # The items of several blocks are cut together, in the last scan.
+    matches = d.matches
+    monkeypatch.setattr(d, "matches", lambda *a, **b: matches(*a, **b, block_words=4))
+    assert sorted(map(tuple, d.decontaminate(docs, items, 0.9, window=4).collect())) == wanted
+
+
 def test_empty_tables(rows):
     docs, none = rows([(1, "a b", "x", 1)], DOCS), rows([], "item_id bigint, text string")
     assert [tuple(r) for r in d.matches(docs, none).select("n_words", "spans", "items").collect()] == [(2, [], [])]
