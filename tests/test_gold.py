@@ -3,6 +3,8 @@
 from decimal import Decimal
 
 from lumenpath.operators.answers import choice_answers, form_answers
+from lumenpath.params import ReportParams
+from lumenpath.plans.activity import activity_report
 from lumenpath.plans.gold import activity_facts, activity_time_gold
 from platform_fixture import build, d
 
@@ -104,3 +106,18 @@ def test_answers_are_collected_behind_one_exchange(spark):
             assert len([line for line in plan[:first] if "collect_list" in line and "Aggregate" in line]) == 2
 
     _without_automatic_broadcasts(spark, check)
+
+
+def test_report_makes_text_of_instants_behind_its_sort(spark):
+    profiles = {
+        "profile_users": ("profile_id bigint, user_id bigint, tenant_id string", [(1, 1, "t1")]),
+        "profile_groups": ("profile_id bigint, group_id bigint, tenant_id string", [(1, 1, "t1")]),
+    }
+    platform = build(spark, **EXTRA, **profiles)
+    admins = spark.createDataFrame([(1, "t1")], "admin_id bigint, tenant_id string")
+    report = activity_report(platform, activity_time_gold(platform, AS_OF), ReportParams(as_of=AS_OF), admins)
+    assert {report.schema[name].dataType.simpleString() for name in ("first_access_at", "last_access_at", "answered_at")} == {"string"}
+    plan = report._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    sort = next(i for i, line in enumerate(plan) if "Sort [full_name" in line)
+    text = [i for i, line in enumerate(plan) if "date_format" in line and "first_access_at" in line]
+    assert text and max(text) < sort

@@ -17,3 +17,10 @@ def test_partitions_are_written_without_a_sort(spark, rows, tmp_path, monkeypatc
     kept = Stage(spark, "partitioned").keep("rows", build_frame, ("tenant_id",))
     assert seen[key] == 7 and spark.conf.get(key) == before
     assert sorted(map(tuple, kept.select("n", "tenant_id").collect())) == [(1, "a"), (2, "b"), (3, "a"), (4, None)]
+
+
+def test_staged_files_are_packed_closely(spark, rows):
+    frame = rows([(n, "a") for n in range(9)], "n bigint, tenant_id string")
+    stage = Stage(spark, "packed")
+    for kept in (stage.keep("plain", lambda: frame), stage.keep("parted", lambda: frame, ("tenant_id",)), stage.keep("dealt", lambda: frame, (), ("n",))):
+        assert kept.count() == 9 and all(file.endswith(".zstd.parquet") for file in kept.inputFiles())
