@@ -915,7 +915,7 @@ _CHECKS: dict[str, str] = {
     **{f"audience_{name}": body for name, body in AUDIENCES.items()},
 }
 
-ORACLES: dict[str, str] = {name: with_tables(body, BLOCKS) for name, body in _CHECKS.items()}
+ORACLES: dict[str, str] = {name: with_tables(body, BLOCKS, name) for name, body in _CHECKS.items()}
 # The table functions give what the operators give.
 _SAME_AS = {
     "sql_user_attributes": "attributes_latest", "sql_settings": "settings_overlay", "sql_environment_settings": "environment_settings_overlay",
