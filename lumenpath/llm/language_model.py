@@ -6,7 +6,8 @@ inserted 1 + floor(log2 c) times, once for each level, so its quantised count is
 is missing.  Parts are sized for their own entries, so the filter grows with the corpus at a constant error rate.
 
 Scoring: parts are broadcast to the workers, at most ``ROUND_BYTES`` of them at a time.  If the filter is larger, the documents
-are visited once for each group of parts; the levels found so far travel with the document through a written table.
+are visited once for each group of parts; the levels found so far travel with the document through a written table, which is
+removed when the next one is written.
 The last visit turns levels into probabilities: P(w | h) = (1 - a) P(w | h') + a c(hw) / c(h), from trigram to unigram, where
 h' lacks the first word of h, and P(w | h) = P(w | h') where h is unknown.  A level stands for the middle of the counts it
 covers, and unigrams are smoothed by adding one.
@@ -340,6 +341,8 @@ def score(docs: DataFrame, training: DataFrame, round_bytes: int = ROUND_BYTES,
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     for turn, (piece, last) in enumerate(model.rounds(round_bytes)):
         rows = stage.keep(f"round{turn}", lambda visited=_visit(rows, piece, model, turn == 0, last): visited)
+        if turn:
+            stage.drop(f"round{turn - 1}")  # texts and levels of one round are enough
     scored = rows
     rare = scored.select("uid", F.explode(F.arrays_zip("words", "times")).alias("x")).select("uid", "x.words", "x.times")
     seen = F.coalesce("seen", F.lit(0))

@@ -209,3 +209,18 @@ def test_filter_finds_all_and_little_else():
     assert (held.levels(hashes[:30_000]) >= lm._levels(counts)).all()
     assert (held.levels(hashes[30_000:]) > 0).mean() < 0.03
     assert (held.levels(hashes[:30_000]) > lm._levels(counts)).mean() < 0.03
+
+
+def test_rounds_leave_one_table_of_documents(spark, rows):
+    import glob
+
+    from lumenpath.sources.staging import shared_folder
+
+    there = lambda: set(glob.glob(f"{shared_folder(spark).removeprefix('file://')}/{spark.sparkContext.applicationId}/language_model-*/round*"))
+    before = there()
+    texts = [f"word{k} word{k + 1} word{k + 2} again" for k in range(40)]
+    docs = rows([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    found = lm.score(docs, docs.select("text"), 1, 0, 50)
+    assert len(found.collect()) == 40
+    left = there() - before
+    assert len(left) == 1 and not left.pop().endswith("round0")

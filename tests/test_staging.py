@@ -1,5 +1,7 @@
 """How staged tables are written."""
 
+import os
+
 from lumenpath.sources.staging import Stage
 
 
@@ -24,3 +26,13 @@ def test_staged_files_are_packed_closely(spark, rows):
     stage = Stage(spark, "packed")
     for kept in (stage.keep("plain", lambda: frame), stage.keep("parted", lambda: frame, ("tenant_id",)), stage.keep("dealt", lambda: frame, (), ("n",))):
         assert kept.count() == 9 and all(file.endswith(".zstd.parquet") for file in kept.inputFiles())
+
+
+def test_a_dropped_frame_takes_no_room(spark, rows):
+    stage = Stage(spark, "dropped")
+    frame = rows([(1,)], "n bigint")
+    folder = stage.keep("first", lambda: frame).inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    stage.drop("first")
+    assert not os.path.exists(folder)
+    assert stage.keep("first", lambda: frame).count() == 1
