@@ -28,6 +28,23 @@ def test_staged_files_are_packed_closely(spark, rows):
         assert kept.count() == 9 and all(file.endswith(".zstd.parquet") for file in kept.inputFiles())
 
 
+def test_packed_files_are_no_measure_of_a_broadcast(spark):
+    by_files, measured = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = {key: spark.conf.get(key, None) for key in (by_files, measured)}
+    try:
+        spark.conf.set(by_files, "10m")
+        spark.conf.unset(measured)
+        stage = Stage(spark, "broadcast")
+        many = stage.keep("many", lambda: spark.range(400_000).selectExpr("id * 7 as id"))
+        few = stage.keep("few", lambda: spark.range(400).selectExpr("id * 7 as id"))
+        plans = [spark.range(1 << 40).join(x, "id", "left_semi")._jdf.queryExecution().executedPlan().toString() for x in (many, few)]
+        assert ["BroadcastHashJoin" in plan for plan in plans] == [False, True]
+        assert spark.conf.get(measured) == str(10 << 20)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_a_dropped_frame_takes_no_room(spark, rows):
     stage = Stage(spark, "dropped")
     frame = rows([(1,)], "n bigint")
